@@ -25,3 +25,8 @@ def first_sequence(events: DataFrame, keys: list[str], order: str = "ingest_seq"
 def not_yet_in(events: DataFrame, earlier: DataFrame, keys: list[str]) -> DataFrame:
     """Rows whose key does not occur among the earlier rows."""
     return events.join(earlier.select(*keys), keys, "left_anti")
+
+
+def upsert(current: DataFrame, updates: DataFrame, keys: list[str]) -> DataFrame:
+    """Current rows with those of the updates put in their place; new keys are added."""
+    return not_yet_in(current, updates, keys).unionByName(updates.select(*current.columns))

@@ -78,7 +78,7 @@ def changelog(valid: DataFrame, max_rows_per_task: int = 1_000_000) -> DataFrame
         .filter(F.col("_rows") > max_rows_per_task)
         .select(*PAGE_KEY, F.lit(True).alias("_large"))
     )
-    slice_no = F.when(F.col("_large"), F.floor(F.col("ingest_seq") / max_rows_per_task).cast("bigint")).otherwise(F.lit(-1))
+    slice_no = F.when(F.col("_large"), F.expr(f"ingest_seq div {max_rows_per_task}")).otherwise(F.lit(-1))
     cut = marked.join(large, PAGE_KEY, "left").withColumn("_slice", slice_no).drop("_large")
 
     # a range frame: the event and its debut row share a sequence and count as one position

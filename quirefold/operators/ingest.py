@@ -80,7 +80,7 @@ def replay_schedule(
     upto = in_slice.rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
     cut = accepted.select(
-        "ingest_seq", "epoch_seconds", F.floor(F.col("ingest_seq") / rows_per_slice).cast("bigint").alias("_slice")
+        "ingest_seq", "epoch_seconds", F.expr(f"ingest_seq div {rows_per_slice}").alias("_slice")
     )
     ends = cut.groupBy("_slice").agg(F.max_by("epoch_seconds", F.when(F.col("epoch_seconds").isNotNull(), F.col("ingest_seq"))).alias("_end"))
     slices_before = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)

@@ -20,7 +20,9 @@ def checked_limit(limit: int, highest: int) -> int:
 
 
 def as_of(moment) -> Column:
-    """A literal instant; None means now."""
+    """An instant as a column; None means now."""
+    if isinstance(moment, Column):
+        return moment
     return F.current_timestamp() if moment is None else F.lit(moment).cast("timestamp")
 
 

@@ -90,7 +90,7 @@ class EventLogs:
         self._write_ranges(placed, f"{self.page_events_path}/run_id={run_id}/batch_id={batch_id}")
 
     def _range_of(self, revision_id: str) -> Column:
-        return F.floor(F.col(revision_id) / self.revisions_per_range).cast("bigint")
+        return F.expr(f"{revision_id} div {self.revisions_per_range}")
 
     def _touched_ranges(self, events: DataFrame) -> list[int] | None:
         """Revision ranges of the batch, for partition pruning; None if they are too many to name."""

@@ -13,7 +13,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.dedup import not_yet_in
+from ..operators.dedup import upsert
 from ..schemas import PAGE_KEY, PAGE_STATE
 from . import files
 
@@ -59,10 +59,8 @@ class PageStateTable:
         placed = updates.select(*PAGE_STATE.fieldNames(), _bucket("wiki", "page_title", pointer["buckets"]).alias("bucket"))
         # at most one value per bucket comes to the driver
         touched = {str(r.bucket) for r in placed.select("bucket").distinct().collect()}
-        kept = not_yet_in(
-            self._read_buckets(pointer, [b for b in pointer["versions"] if b in touched]), updates, PAGE_KEY
-        )
-        merged = kept.unionByName(updates.select(*PAGE_STATE.fieldNames()))
+        held = self._read_buckets(pointer, [b for b in pointer["versions"] if b in touched])
+        merged = upsert(held, updates, PAGE_KEY)
         version = self._write(merged, pointer["buckets"])
         return self._swap(pointer, {**pointer["versions"], **{b: version for b in touched}})
 

@@ -20,12 +20,15 @@ def jsonl_records(spark: SparkSession, path: str) -> DataFrame:
 
 def only_json(lines: DataFrame) -> DataFrame:
     """Lines trimmed, without blank ones and those that are not JSON."""
-    text = F.trim("value")
-    kept = [c for c in lines.columns if c != "value"]
-    parsed = lines.select(*kept, text.alias("value")).filter("value <> ''")
+    return _keep_json(lines.withColumn("value", F.trim("value")))
+
+
+def _keep_json(records: DataFrame) -> DataFrame:
+    kept = [c for c in records.columns if c != "value"]
     checked = F.struct(F.col("value"), J.is_single_value(F.col("_v"), F.col("value")).alias("_ok"))
     return (
-        parsed.select(*kept, "value", J.parse_wrapped(F.col("value")).alias("_v"))
+        records.filter("value <> ''")
+        .select(*kept, "value", J.parse_wrapped(F.col("value")).alias("_v"))
         .select(*kept, F.inline(F.array(checked)))
         .filter("_ok")
         .drop("_ok")
@@ -48,20 +51,7 @@ def sse_events(frames: DataFrame) -> DataFrame:
     payload = F.array_join(_field_lines(lines, "data:", F.ltrim), "\n")
     ids = _field_lines(lines, "id:", F.trim)
     events = frames.select(*kept, F.try_element_at(ids, F.lit(-1)).alias("event_id"), payload.alias("value"))
-    return only_json_payload(events)
-
-
-def only_json_payload(events: DataFrame) -> DataFrame:
-    """Events whose payload is JSON; unlike lines, payloads are kept as they are."""
-    kept = [c for c in events.columns if c != "value"]
-    checked = F.struct(F.col("value"), J.is_single_value(F.col("_v"), F.col("value")).alias("_ok"))
-    return (
-        events.filter("value <> ''")
-        .select(*kept, "value", J.parse_wrapped(F.col("value")).alias("_v"))
-        .select(*kept, F.inline(F.array(checked)))
-        .filter("_ok")
-        .drop("_ok")
-    )
+    return _keep_json(events)
 
 
 def _field_lines(lines: Column, prefix: str, strip) -> Column:
