@@ -23,6 +23,12 @@ def delete(spark: SparkSession, path: str) -> None:
     _fs(spark, path).delete(_path(spark, path), True)
 
 
+def partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
+    """Values of a partition column, from the names of its directories."""
+    names = [status.getPath().getName() for status in _fs(spark, path).listStatus(_path(spark, path))]
+    return sorted(name.split("=", 1)[1] for name in names if name.startswith(f"{column}="))
+
+
 def modified_millis(spark: SparkSession, path: str) -> int:
     return _fs(spark, path).getFileStatus(_path(spark, path)).getModificationTime()
 
@@ -37,14 +43,13 @@ def read_text(spark: SparkSession, path: str) -> str:
 
 def create_new(spark: SparkSession, path: str, text: str) -> bool:
     """Write a file that must not exist yet; False if it does."""
-    jvm = spark._jvm
     try:
         stream = _fs(spark, path).create(_path(spark, path), False)
     except Exception:
         if exists(spark, path):
             return False
         raise
-    stream.write(jvm.java.lang.String(text).getBytes("UTF-8"))
+    stream.write(bytearray(text, "utf-8"))
     stream.close()
     return True
 

@@ -56,20 +56,21 @@ class PageStateTable:
     def upsert(self, updates: DataFrame) -> dict:
         """Replace or add the given pages (one row each); all non-key columns are replaced."""
         pointer = self.current()
-        placed = updates.select(*PAGE_STATE.fieldNames(), _bucket("wiki", "page_title", pointer["buckets"]).alias("bucket"))
-        # at most one value per bucket comes to the driver
-        touched = {str(r.bucket) for r in placed.select("bucket").distinct().collect()}
-        held = self._read_buckets(pointer, [b for b in pointer["versions"] if b in touched])
-        merged = upsert(held, updates, PAGE_KEY)
-        version = self._write(merged, pointer["buckets"])
-        return self._swap(pointer, {**pointer["versions"], **{b: version for b in touched}})
+        # the updates are used twice, and may come from a stream: compute them once, to files
+        staged = self._write(updates.select(*PAGE_STATE.fieldNames()), pointer["buckets"])
+        touched = self._buckets_in(staged)
+        held = [b for b in touched if b in pointer["versions"]]
+        version = staged
+        if held:
+            fresh = self._read_buckets({"versions": dict.fromkeys(touched, staged)}, touched)
+            version = self._write(upsert(self._read_buckets(pointer, held), fresh, PAGE_KEY), pointer["buckets"])
+            files.delete(self.spark, self._version_dir(staged))
+        return self._swap(pointer, {**pointer["versions"], **dict.fromkeys(touched, version)})
 
     def write_shadow(self, state: DataFrame) -> dict:
         """Write a whole new state beside the live one; gives the pointer that would make it live."""
         version = self._write(state, self.buckets)
-        written = self.spark.read.parquet(self._version_dir(version))
-        held = [str(r.bucket) for r in written.select("bucket").distinct().collect()] if "bucket" in written.columns else []
-        return {"buckets": self.buckets, "versions": {b: version for b in held}}
+        return {"buckets": self.buckets, "versions": dict.fromkeys(self._buckets_in(version), version)}
 
     def swap_in(self, shadow: dict, expected: dict) -> dict:
         """Make a shadow live, if the live state is still the one it was compared with."""
@@ -77,6 +78,10 @@ class PageStateTable:
             raise RuntimeError("page_state changed while its replacement was being built")
         return self._swap(shadow, shadow["versions"])
 
+    def _buckets_in(self, version: str) -> list[str]:
+        """Buckets a version has rows of: at most one name per bucket comes to the driver."""
+        return files.partition_values(self.spark, self._version_dir(version), "bucket")
+
     def _write(self, state: DataFrame, buckets: int) -> str:
         version = uuid.uuid4().hex
         placed = state.withColumn("bucket", _bucket("wiki", "page_title", buckets))

@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..schemas import PAGE_KEY, PAGE_STATE
+from ..schemas import PAGE_KEY
 from ..sinks.page_state import PageStateTable
 from .validate_stream import triggered
 
@@ -76,11 +75,7 @@ def start_fold(
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_PROVIDER)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        changed = batch.select(*PAGE_STATE.fieldNames()).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            target.upsert(changed)
-        finally:
-            changed.unpersist()
+        target.upsert(batch)
 
     writer = fold_stream(valid).writeStream.outputMode("update").foreachBatch(write)
     return triggered(writer.option("checkpointLocation", checkpoint), drain).start()
