@@ -7,14 +7,15 @@ from pyspark.sql import functions as F
 
 
 def first_arrival(events: DataFrame, keys: list[str], order: str = "ingest_seq") -> DataFrame:
-    """One row per key, the first to arrive.
+    """One row per key, the first to arrive. ``order`` is unique within a key.
 
     An aggregate, not a window: each task reduces its copies before the shuffle, so a
     key with very many copies costs the receiving task one row per sending task.
     """
     rest = [c for c in events.columns if c not in keys and c != order]
-    first = F.min(F.struct(order, *rest)).alias("_first")
-    return events.groupBy(*keys).agg(first).select(*keys, "_first.*").select(*events.columns)
+    first = F.min_by(F.struct(*rest), order).alias("_first")
+    found = events.groupBy(*keys).agg(F.min(order).alias(order), first)
+    return found.select(*keys, order, "_first.*").select(*events.columns)
 
 
 def first_sequence(events: DataFrame, keys: list[str], order: str = "ingest_seq") -> DataFrame:

@@ -65,21 +65,22 @@ def changelog(valid: DataFrame, max_rows_per_task: int = 1_000_000) -> DataFrame
     needed = valid.select("ingest_seq", *FOLD_KEY, "editor", "byte_delta", "occurred_ts")
     events = first_arrival(needed, FOLD_KEY)
 
-    # the first event of each editor on each page, found by an aggregate and not by a window
-    # over the editor's events; it joins back as a row of its own with the same sequence
-    debut = events.groupBy(*PAGE_KEY, "editor").agg(F.min("ingest_seq").alias("ingest_seq"))
-    marked = events.withColumn("_new", F.lit(0)).unionByName(
-        debut.select(*PAGE_KEY, "ingest_seq", F.lit(1).alias("_new")), allowMissingColumns=True
-    )
+    # The first event of each editor on each page, found by an aggregate and not by a window
+    # over the editor's events; it joins in as a row of its own with the same sequence. Every
+    # branch below uses all columns of what it shares with another, so that the plan reads each
+    # shuffle again instead of doing it again.
+    per_editor = events.groupBy(*PAGE_KEY, "editor").agg(F.min("ingest_seq").alias("ingest_seq"), F.count("*").alias("_rows"))
+    debut = per_editor.select(*PAGE_KEY, "ingest_seq", F.when(F.col("_rows") > 0, 1).alias("_new"))
+    marked = events.withColumn("_new", F.lit(0)).unionByName(debut, allowMissingColumns=True)
 
     large = (
-        events.groupBy(*PAGE_KEY)
-        .agg(F.count("*").alias("_rows"))
+        per_editor.groupBy(*PAGE_KEY)
+        .agg(F.sum("_rows").alias("_rows"), F.min("ingest_seq").alias("_start"))
         .filter(F.col("_rows") > max_rows_per_task)
-        .select(*PAGE_KEY, F.lit(True).alias("_large"))
+        .select(*PAGE_KEY, "_start")
     )
-    slice_no = F.when(F.col("_large"), F.expr(f"ingest_seq div {max_rows_per_task}")).otherwise(F.lit(-1))
-    cut = marked.join(large, PAGE_KEY, "left").withColumn("_slice", slice_no).drop("_large")
+    slice_no = F.coalesce(F.expr(f"(ingest_seq - _start) div {max_rows_per_task}"), F.lit(-1))
+    cut = marked.join(large, PAGE_KEY, "left").withColumn("_slice", slice_no).drop("_start")
 
     # a range frame: the event and its debut row share a sequence and count as one position
     running = (
@@ -98,7 +99,19 @@ def changelog(valid: DataFrame, max_rows_per_task: int = 1_000_000) -> DataFrame
         "ingest_seq", *FOLD_KEY, "_slice", "_new", *[m.over(running).alias(name) for name, m in measures.items()]
     ).filter(is_event)
 
-    totals = cut.filter("_slice >= 0").groupBy(*PAGE_KEY, "_slice").agg(*[m.alias(name) for name, m in measures.items()])
+    # the running values are highest, or lowest, at the end of a slice; only the sum needs its last row
+    totals = (
+        local.groupBy(*PAGE_KEY, "_slice")
+        .agg(
+            F.max("_slice").alias("_at"),
+            F.max("edit_count").alias("edit_count"),
+            F.max_by("net_byte_delta", "ingest_seq").alias("net_byte_delta"),
+            F.max("unique_editors").alias("unique_editors"),
+            F.min("created_at").alias("created_at"),
+            F.max("_last").alias("_last"),
+        )
+        .filter("_at >= 0")
+    )
     earlier = Window.partitionBy(*PAGE_KEY).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     carried = totals.select(
         *PAGE_KEY,

@@ -79,10 +79,12 @@ def replay_schedule(
     before = in_slice.rowsBetween(Window.unboundedPreceding, -1)
     upto = in_slice.rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
+    # one shuffle, by slice, which both passes over the records read
     cut = accepted.select(
         "ingest_seq", "epoch_seconds", F.expr(f"ingest_seq div {rows_per_slice}").alias("_slice")
-    )
-    ends = cut.groupBy("_slice").agg(F.max_by("epoch_seconds", F.when(F.col("epoch_seconds").isNotNull(), F.col("ingest_seq"))).alias("_end"))
+    ).repartition("_slice")
+    dated = F.when(F.col("epoch_seconds").isNotNull(), F.col("ingest_seq"))
+    ends = cut.groupBy("_slice").agg(F.max_by("epoch_seconds", dated).alias("_end"))
     slices_before = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     carried = ends.select("_slice", F.last("_end", ignorenulls=True).over(slices_before).alias("_carried"))
 

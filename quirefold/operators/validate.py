@@ -25,14 +25,15 @@ REASONS = (
 )
 
 
-def classify(raw: DataFrame) -> DataFrame:
+def classify(raw: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Validate each raw record.
 
-    Takes ``ingest_seq, value``; gives ``ingest_seq, value, reason`` and the normalized
+    Takes ``ingest_seq, value`` and any columns to keep; gives them, ``reason`` and the normalized
     columns. ``reason`` is NULL for a valid event, else the first check that failed.
     """
     v = F.col("_v")
     text = F.col("value")
+    kept = ["ingest_seq", "value", *keep]
     dt = J.json_string(v, "$[0].meta.dt")
     no_dt_text = dt.isNull() | (dt == "")
     fields = [
@@ -51,10 +52,10 @@ def classify(raw: DataFrame) -> DataFrame:
         F.when(no_dt_text, J.json_type(v, "$[0].timestamp")).alias("ts_type"),
         F.when(no_dt_text, J.json_double(v, "$[0].timestamp")).alias("ts"),
     ]
-    read = raw.select("ingest_seq", "value", J.parse_wrapped(text).alias("_v")).select("ingest_seq", "value", *fields)
+    read = raw.select(*kept, J.parse_wrapped(text).alias("_v")).select(*kept, *fields)
     # inline() keeps a later filter above the parse: pushed below it, the filter on the
     # reason would repeat the whole parse in its own condition
-    return _normalize(read).select("ingest_seq", "value", F.inline(F.array("_event")))
+    return _normalize(read, kept).select(*kept, F.inline(F.array("_event")))
 
 
 def _number(v: Column, path: str, name: str) -> list[Column]:
@@ -65,8 +66,8 @@ def _is_long(name: str) -> Column:
     return F.coalesce(F.col(f"{name}_type") == "BIGINT", F.lit(False))
 
 
-def _normalize(read: DataFrame) -> DataFrame:
-    """Columns of the reads above to ``ingest_seq, value, _event``.
+def _normalize(read: DataFrame, kept: list[str]) -> DataFrame:
+    """Columns of the reads above to one column ``_event``.
 
     In three small steps: one large step compiles to a method the JVM will not optimize.
     """
@@ -76,8 +77,7 @@ def _normalize(read: DataFrame) -> DataFrame:
     has_old = c("old_type").isNotNull() & (c("old_type") != "VOID")
     texts_present = [F.coalesce(c(name) != "", F.lit(False)) for name in ("wiki", "page_title", "editor")]
     checked = read.select(
-        "ingest_seq",
-        "value",
+        *kept,
         F.inline(
             F.array(
                 F.struct(
@@ -135,7 +135,7 @@ def _normalize(read: DataFrame) -> DataFrame:
         c("occurred_at"),
         c("occurred_ts"),
     )
-    return timed.select("ingest_seq", "value", event.alias("_event"))
+    return timed.select(*kept, event.alias("_event"))
 
 
 def valid_events(classified: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from ..functions import instants
 from ..operators import audit, compare, dedup, fold, ingest, reads, validate
-from ..schemas import FOLD_KEY, LEDGER_KEY, PAGE_KEY, REBUILD_LOG
+from ..schemas import LEDGER_KEY, PAGE_KEY, REBUILD_LOG, VALID, stored_at
 from ..session import configure, new_run_dir
 from ..sinks.event_logs import EventLogs, append_raw_log
 from ..sinks.page_state import PageStateTable
@@ -34,8 +34,14 @@ def _valid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return validate.valid_events(_classified(spark, sf_dir))
 
 
-def _valid_accepted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return validate.valid_events(validate.classify(ingest.accept(raw_events(spark, sf_dir))))
+def _valid_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The valid log as a table, with the mark of the ingest filter, for queries that read it more
+    than once: the records are then parsed once."""
+    path = new_run_dir(spark, "valid")
+    records = ingest.read_ingest_fields(raw_events(spark, sf_dir))
+    classified = validate.classify(records, keep=("accepted",)).filter("reason IS NULL")
+    classified.select(*VALID.fieldNames(), "accepted").write.parquet(path)
+    return spark.read.schema(stored_at(VALID, T.StructField("accepted", T.BooleanType()))).parquet(path)
 
 
 def _arrival(seq: Column) -> Column:
@@ -43,8 +49,8 @@ def _arrival(seq: Column) -> Column:
     return F.timestamp_micros(start + seq * (ARRIVAL_MILLIS * 1000))
 
 
-def _ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    first = dedup.first_arrival(_valid(spark, sf_dir), LEDGER_KEY)
+def _ledger(valid: DataFrame) -> DataFrame:
+    first = dedup.first_arrival(valid, LEDGER_KEY)
     return validate.to_page_events(first, _arrival(F.col("ingest_seq")))
 
 
@@ -53,10 +59,6 @@ def _asof(spark: SparkSession, sf_dir: str) -> Column:
     return _arrival(events_table(spark, sf_dir).agg(F.count("*")).scalar())
 
 
-def _state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fold.fold_pages(_valid(spark, sf_dir))
-
-
 def _zoneless(df: DataFrame) -> DataFrame:
     """Instants as UTC wall-clock time, so that results compare across engines."""
     return df.select(
@@ -159,21 +161,22 @@ def epoch_instants(spark, sf_dir):
 
 # --- ledger and fold ---
 def ledger_dedup(spark, sf_dir):
-    return _zoneless(_ledger(spark, sf_dir))
+    return _zoneless(_ledger(_valid(spark, sf_dir)))
 
 
 def page_state(spark, sf_dir):
-    return _zoneless(_state(spark, sf_dir))
+    return _zoneless(fold.fold_pages(_valid(spark, sf_dir)))
 
 
 def page_state_sorted(spark, sf_dir):
-    return _zoneless(reads.canonical(_state(spark, sf_dir)))
+    return _zoneless(reads.canonical(fold.fold_pages(_valid(spark, sf_dir))))
 
 
 def fold_dedup_vs_ledger(spark, sf_dir):
     """Per page, the events that count in the fold and in the ledger: two identities of an event."""
-    in_fold = _state(spark, sf_dir).select(*PAGE_KEY, F.col("edit_count").alias("fold_events"))
-    in_ledger = _ledger(spark, sf_dir).groupBy(*PAGE_KEY).agg(F.count("*").alias("ledger_events"))
+    valid = _valid_table(spark, sf_dir)
+    in_fold = fold.fold_pages(valid).select(*PAGE_KEY, F.col("edit_count").alias("fold_events"))
+    in_ledger = _ledger(valid).groupBy(*PAGE_KEY).agg(F.count("*").alias("ledger_events"))
     return in_fold.join(in_ledger, PAGE_KEY, "full_outer").select(
         *PAGE_KEY, "fold_events", F.coalesce("ledger_events", F.lit(0)).alias("ledger_events")
     )
@@ -189,12 +192,13 @@ def changelog_in_slices(spark, sf_dir):
 
 
 def sample_fold(spark, sf_dir):
-    return _zoneless(fold.fold_accepted_by_title(_valid_accepted(spark, sf_dir)))
+    accepted = validate.classify(ingest.accept(raw_events(spark, sf_dir)))
+    return _zoneless(fold.fold_accepted_by_title(validate.valid_events(accepted)))
 
 
 def upsert(spark, sf_dir):
     """State after the first deliveries, with the pages of later deliveries brought up to date."""
-    valid = _valid(spark, sf_dir)
+    valid = _valid_table(spark, sf_dir)
     later = F.col("ingest_seq") >= events_table(spark, sf_dir).agg(F.count("*")).scalar()
     before = fold.fold_pages(valid.filter(~later))
     touched = valid.filter(later).select(*PAGE_KEY).distinct()
@@ -204,48 +208,52 @@ def upsert(spark, sf_dir):
 
 # --- reads ---
 def stats(spark, sf_dir):
-    return reads.stats(_ledger(spark, sf_dir), _state(spark, sf_dir), _asof(spark, sf_dir))
+    valid = _valid_table(spark, sf_dir)
+    return reads.stats(_ledger(valid), fold.fold_pages(valid), _asof(spark, sf_dir))
 
 
 def events_per_min(spark, sf_dir):
-    return reads.events_per_minute(_ledger(spark, sf_dir), _asof(spark, sf_dir))
+    return reads.events_per_minute(_ledger(_valid(spark, sf_dir)), _asof(spark, sf_dir))
 
 
 def pages_tracked(spark, sf_dir):
-    return reads.pages_tracked(_state(spark, sf_dir))
+    return reads.pages_tracked(fold.fold_pages(_valid(spark, sf_dir)))
 
 
 def editors_seen(spark, sf_dir):
-    return reads.editors_seen(_ledger(spark, sf_dir))
+    return reads.editors_seen(_ledger(_valid(spark, sf_dir)))
 
 
 def total_events(spark, sf_dir):
-    return reads.total_events(_ledger(spark, sf_dir))
+    return reads.total_events(_ledger(_valid(spark, sf_dir)))
 
 
 def feed(spark, sf_dir):
-    return _zoneless(reads.feed(_ledger(spark, sf_dir)))
+    return _zoneless(reads.feed(_ledger(_valid(spark, sf_dir))))
 
 
 def leaderboard(spark, sf_dir):
-    return _zoneless(reads.leaderboard(_state(spark, sf_dir)))
+    return _zoneless(reads.leaderboard(fold.fold_pages(_valid(spark, sf_dir))))
 
 
 def page_history(spark, sf_dir):
-    return _zoneless(reads.page_history(_ledger(spark, sf_dir), "enwiki", "page-7"))
+    return _zoneless(reads.page_history(_ledger(_valid(spark, sf_dir)), "enwiki", "page-7"))
 
 
 def page_current(spark, sf_dir):
-    return _zoneless(reads.page_current(_state(spark, sf_dir), "enwiki", "page-7"))
+    return _zoneless(reads.page_current(fold.fold_pages(_valid(spark, sf_dir)), "enwiki", "page-7"))
 
 
 def history_with_state(spark, sf_dir):
-    return _zoneless(reads.history_with_state(_ledger(spark, sf_dir), _state(spark, sf_dir)))
+    valid = _valid_table(spark, sf_dir)
+    return _zoneless(reads.history_with_state(_ledger(valid), fold.fold_pages(valid)))
 
 
 # --- comparison ---
 def _two_states(spark, sf_dir):
-    return fold.fold_pages(_valid_accepted(spark, sf_dir)), _state(spark, sf_dir)
+    """State of the accepted events, and state of all."""
+    valid = _valid_table(spark, sf_dir)
+    return fold.fold_pages(valid.filter("accepted")), fold.fold_pages(valid)
 
 
 def discrepancy(spark, sf_dir):
@@ -268,7 +276,7 @@ def compare_states(spark, sf_dir):
 
 def state_check(spark, sf_dir):
     """Folded state of the accepted events against the independent fold of the sample."""
-    accepted = _valid_accepted(spark, sf_dir)
+    accepted = _valid_table(spark, sf_dir).filter("accepted")
     expected = fold.fold_accepted_by_title(accepted).withColumn("wiki", F.lit("enwiki"))
     return compare.state_check(fold.fold_pages(accepted), expected)
 
@@ -323,8 +331,9 @@ def rebuild_guard(spark, sf_dir):
 
 def rebuild_progress(spark, sf_dir):
     """Per page, the share of its valid records (copies too) that the ledger holds."""
-    total = _valid(spark, sf_dir).groupBy(*PAGE_KEY).agg(F.count("*").alias("total"))
-    processed = _ledger(spark, sf_dir).groupBy(*PAGE_KEY).agg(F.count("*").alias("processed"))
+    valid = _valid_table(spark, sf_dir)
+    total = valid.groupBy(*PAGE_KEY).agg(F.count("*").alias("total"))
+    processed = _ledger(valid).groupBy(*PAGE_KEY).agg(F.count("*").alias("processed"))
     both = total.join(processed, PAGE_KEY, "left")
     return both.select(*PAGE_KEY, audit.progress(F.coalesce("processed", F.lit(0)), F.col("total")).alias("progress"))
 
@@ -339,7 +348,7 @@ def _stream_ledger(spark: SparkSession, sf_dir: str) -> tuple[EventLogs, str]:
     for part in (F.col("ingest_seq") < n, (F.col("ingest_seq") >= n) & (F.col("ingest_seq") < 2 * n), F.col("ingest_seq") >= 2 * n):
         append_raw_log(published.filter(part), f"{root}/raw")
     events = EventLogs(spark, root)
-    raw = logs.raw_log_stream(spark, f"{root}/raw", max_files=4)
+    raw = logs.raw_log_stream(spark, f"{root}/raw", max_files=8)
     start_validation(spark, raw, events, f"{root}/checkpoints/validate", drain=True).awaitTermination()
     return events, root
 

@@ -13,8 +13,21 @@ from pyspark.sql import functions as F
 from ..functions.json_checks import compact_json
 
 
+EVENTS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+
+
 def events_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet")
+    return spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
+
+
+def spread(table: DataFrame, key: str) -> DataFrame:
+    """A table that is read in fewer splits than there are cores, spread over the cores.
+
+    The rows are about to be parsed, which is worth more than this shuffle of a small file. A
+    large table has splits enough and is left as it is.
+    """
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    return table.repartition(cores, key) if table.rdd.getNumPartitions() < cores else table
 
 
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,7 +41,7 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(eid % 10 == 1, F.struct((arrival + F.col("n")).alias("ingest_seq"), F.lit("page-").alias("prefix"))),
         F.when(eid % 100 == 12, F.struct((arrival + 2 * F.col("n")).alias("ingest_seq"), F.lit("moved-").alias("prefix"))),
     )
-    rows = events.withColumn("n", total).select("*", F.inline(F.array_compact(copies)))
+    rows = spread(events, "event_id").withColumn("n", total).select("*", F.inline(F.array_compact(copies)))
 
     fault = eid % 40
     delta = F.floor(F.col("value") * 100).cast("bigint") % 2000 - 1000
@@ -69,7 +82,7 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def lineitem_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The larger `lineitem` table as valid events, for timing: its revisions repeat with
     different contents, so which copy comes first is not defined."""
-    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    lines = spread(spark.read.parquet(f"{sf_dir}/lineitem.parquet"), "l_orderkey")
     quantity = F.round("l_quantity").cast("int")
     return lines.select(
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("ingest_seq"),
