@@ -63,7 +63,9 @@ def changelog(valid: DataFrame, max_rows_per_task: int = 1_000_000) -> DataFrame
     if max_rows_per_task < 1:
         raise ValueError("max_rows_per_task must be positive")
     needed = valid.select("ingest_seq", *FOLD_KEY, "editor", "byte_delta", "occurred_ts")
-    events = first_arrival(needed, FOLD_KEY)
+    # true of every valid event; said here so that no join below filters one of its sides alone,
+    # which would keep the plan from reading a shuffle twice
+    events = first_arrival(needed.filter("wiki IS NOT NULL AND page_title IS NOT NULL"), FOLD_KEY)
 
     # The first event of each editor on each page, found by an aggregate and not by a window
     # over the editor's events; it joins in as a row of its own with the same sequence. Every
@@ -71,7 +73,10 @@ def changelog(valid: DataFrame, max_rows_per_task: int = 1_000_000) -> DataFrame
     # shuffle again instead of doing it again.
     per_editor = events.groupBy(*PAGE_KEY, "editor").agg(F.min("ingest_seq").alias("ingest_seq"), F.count("*").alias("_rows"))
     debut = per_editor.select(*PAGE_KEY, "ingest_seq", F.when(F.col("_rows") > 0, 1).alias("_new"))
-    marked = events.withColumn("_new", F.lit(0)).unionByName(debut, allowMissingColumns=True)
+    applied = events.select(
+        *PAGE_KEY, "ingest_seq", "byte_delta", F.struct("occurred_ts", "revision_id", "editor").alias("_edit"), F.lit(0).alias("_new")
+    )
+    marked = applied.unionByName(debut, allowMissingColumns=True)
 
     large = (
         per_editor.groupBy(*PAGE_KEY)
@@ -87,16 +92,15 @@ def changelog(valid: DataFrame, max_rows_per_task: int = 1_000_000) -> DataFrame
         Window.partitionBy(*PAGE_KEY, "_slice").orderBy("ingest_seq").rangeBetween(Window.unboundedPreceding, Window.currentRow)
     )
     is_event = F.col("_new") == 0
-    last = F.when(is_event, F.struct("occurred_ts", "revision_id", "editor"))
     measures = {
         "edit_count": F.sum(F.when(is_event, 1).otherwise(0)),
         "net_byte_delta": F.sum("byte_delta"),
         "unique_editors": F.sum("_new"),
-        "created_at": F.min("occurred_ts"),
-        "_last": F.max(last),
+        "created_at": F.min("_edit.occurred_ts"),
+        "_last": F.max("_edit"),
     }
     local = cut.select(
-        "ingest_seq", *FOLD_KEY, "_slice", "_new", *[m.over(running).alias(name) for name, m in measures.items()]
+        "ingest_seq", *PAGE_KEY, "_slice", "_new", "_edit", *[m.over(running).alias(name) for name, m in measures.items()]
     ).filter(is_event)
 
     # the running values are highest, or lowest, at the end of a slice; only the sum needs its last row
@@ -129,7 +133,7 @@ def changelog(valid: DataFrame, max_rows_per_task: int = 1_000_000) -> DataFrame
         .select(
             "ingest_seq",
             *PAGE_KEY,
-            "revision_id",
+            F.col("_edit.revision_id").alias("revision_id"),
             F.least("created_at", "c_created").alias("created_at"),
             F.col("_last.occurred_ts").alias("last_edited_at"),
             (F.col("edit_count") + F.coalesce("c_edits", zero)).alias("edit_count"),

@@ -90,13 +90,13 @@ def replay_schedule(
 
     previous = F.coalesce(F.last("epoch_seconds", ignorenulls=True).over(before), F.col("_carried"))
     paced = (
-        cut.join(carried, "_slice")
+        cut.join(carried, "_slice", "left")
         .withColumn("_gap", F.col("epoch_seconds") - previous)
         .select("ingest_seq", "epoch_seconds", "_slice", _pause_micros(F.col("_gap"), speed, max_gap).alias("pause_micros"))
     )
     totals = paced.groupBy("_slice").agg(F.sum("pause_micros").alias("_total"))
     elapsed = totals.select("_slice", F.coalesce(F.sum("_total").over(slices_before), F.lit(0)).alias("_elapsed"))
-    return paced.join(elapsed, "_slice").select(
+    return paced.join(elapsed, "_slice", "left").select(
         "ingest_seq",
         "epoch_seconds",
         "pause_micros",
