@@ -38,5 +38,5 @@ def start_guard(log: DataFrame, asof=None) -> DataFrame:
 
 def progress(processed: Column, total: Column) -> Column:
     """Share of the log replayed, at most 1; 0 while the total is unknown or zero."""
-    share = F.least(processed / F.nullif(total, F.lit(0)), F.lit(1.0))
-    return F.coalesce(share, F.lit(0.0))
+    # least() skips NULLs, so an unknown total needs its own branch
+    return F.when(total > 0, F.least(processed / total, F.lit(1.0))).otherwise(F.lit(0.0))
