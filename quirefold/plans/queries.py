@@ -342,7 +342,8 @@ def rebuild_progress(spark, sf_dir):
 def _stream_ledger(spark: SparkSession, sf_dir: str) -> tuple[EventLogs, str]:
     """Publish the accepted events in their deliveries, and drain the validation stream over them."""
     root = new_run_dir(spark, "streams")
-    published = ingest.to_raw_log(ingest.accept(raw_events(spark, sf_dir)))
+    append_raw_log(ingest.to_raw_log(ingest.accept(raw_events(spark, sf_dir))), f"{root}/published")
+    published = logs.raw_log(spark, f"{root}/published")
     n = events_table(spark, sf_dir).agg(F.count("*")).scalar()
     # files are taken in the order they were written: first deliveries, repeats, moved copies
     for part in (F.col("ingest_seq") < n, (F.col("ingest_seq") >= n) & (F.col("ingest_seq") < 2 * n), F.col("ingest_seq") >= 2 * n):

@@ -92,3 +92,6 @@ RUN_ID = T.StructField("run_id", T.StringType())
 BATCH_ID = T.StructField("batch_id", T.LongType())
 REV_RANGE = T.StructField("rev_range", T.LongType())
 FIRST_ARRIVAL = T.StructField("first_arrival", T.BooleanType())
+
+# the valid log as written: with the mark of the copy that counts in the fold
+VALID_STORED = stored_at(VALID, FIRST_ARRIVAL, REV_RANGE, RUN_ID, BATCH_ID)

@@ -1,7 +1,9 @@
 """Batch sinks of the validation stream: valid log, dead-letter log and page_events ledger.
 
-Each batch owns the directory ``run_id=R/batch_id=N``. A batch that is repeated after a
-failure writes the same rows over it, so every record counts once.
+Each batch owns the directories ``run_id=R/batch_id=N``, in valid log and ledger one below each
+range of revision ids it has events in. A batch that is repeated after a failure writes the
+same rows over them, so every record counts once. Looking for earlier copies of a revision
+lists and reads its range only, and not the history of all batches.
 """
 
 from __future__ import annotations
@@ -17,10 +19,11 @@ from ..schemas import (
     FOLD_KEY,
     LEDGER_KEY,
     PAGE_EVENTS,
+    PAGE_KEY,
     REV_RANGE,
     RUN_ID,
     VALID,
-    FIRST_ARRIVAL,
+    VALID_STORED,
     stored_at,
 )
 from . import files
@@ -30,7 +33,7 @@ MAX_NAMED_RANGES = 2000
 
 
 class EventLogs:
-    """The three tables under one root, laid out by run, batch and range of revision ids."""
+    """The three tables under one root."""
 
     def __init__(self, spark: SparkSession, root: str, revisions_per_range: int = 10_000_000):
         self.spark = spark
@@ -41,19 +44,24 @@ class EventLogs:
         self.page_events_path = f"{self.root}/page_events"
 
     # --- reads ---
-    def valid(self) -> DataFrame:
-        return self._read(self.valid_path, stored_at(VALID, FIRST_ARRIVAL, RUN_ID, BATCH_ID, REV_RANGE))
+    def valid(self, ranges: list[int] | None = None) -> DataFrame:
+        return self._read(self.valid_path, VALID_STORED, ranges)
 
     def deadletter(self) -> DataFrame:
-        return self._read(self.deadletter_path, stored_at(DEADLETTER, RUN_ID, BATCH_ID))
-
-    def page_events(self) -> DataFrame:
-        return self._read(self.page_events_path, stored_at(PAGE_EVENTS, RUN_ID, BATCH_ID, REV_RANGE))
-
-    def _read(self, path: str, schema) -> DataFrame:
-        if not files.exists(self.spark, path):
+        return self._read(self.deadletter_path, stored_at(DEADLETTER, RUN_ID, BATCH_ID), None)
+
+    def page_events(self, ranges: list[int] | None = None) -> DataFrame:
+        return self._read(self.page_events_path, stored_at(PAGE_EVENTS, REV_RANGE, RUN_ID, BATCH_ID), ranges)
+
+    def _read(self, path: str, schema, ranges: list[int] | None) -> DataFrame:
+        """A table, or those directories of it that hold the given ranges."""
+        paths = [path] if files.exists(self.spark, path) else []
+        if paths and ranges is not None:
+            held = set(files.partition_values(self.spark, path, "rev_range"))
+            paths = [f"{path}/rev_range={r}" for r in ranges if str(r) in held]
+        if not paths:
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(path)
+        return self.spark.read.schema(schema).option("basePath", path).parquet(*paths)
 
     # --- writes ---
     def write_batch(self, classified: DataFrame, run_id: str, batch_id: int, ingested_at: Column) -> None:
@@ -69,7 +77,7 @@ class EventLogs:
 
     def write_valid(self, events: DataFrame, ranges: list[int] | None, run_id: str, batch_id: int) -> None:
         """Append valid events, copies included; the first of each page and revision is marked."""
-        earlier = self._earlier(self.valid(), ranges, run_id, batch_id).filter("first_arrival")
+        earlier = _of_other_batches(self.valid(ranges), run_id, batch_id).filter("first_arrival")
         first = not_yet_in(first_sequence(events, FOLD_KEY), earlier, FOLD_KEY)
         # joining on the sequence too: copies of one revision do not meet in one task
         marks = first.withColumn("first_arrival", F.lit(True))
@@ -77,35 +85,42 @@ class EventLogs:
             "first_arrival", F.coalesce("first_arrival", F.lit(False))
         )
         out = marked.select(*VALID.fieldNames(), "first_arrival", "rev_range")
-        self._write_ranges(out, f"{self.valid_path}/run_id={run_id}/batch_id={batch_id}")
+        _write_ranges(out, self.valid_path, "occurred_ts", run_id, batch_id)
 
     def append_ledger(
         self, events: DataFrame, ranges: list[int] | None, run_id: str, batch_id: int, ingested_at: Column
     ) -> None:
         """Insert events whose revision the ledger does not hold yet; the first to arrive wins."""
-        earlier = self._earlier(self.page_events(), ranges, run_id, batch_id)
+        earlier = _of_other_batches(self.page_events(ranges), run_id, batch_id)
         first = not_yet_in(first_sequence(events, LEDGER_KEY), earlier, LEDGER_KEY)
         rows = to_page_events(events.join(first, [*LEDGER_KEY, "ingest_seq"], "left_semi"), ingested_at)
         placed = rows.withColumn("rev_range", self._range_of("revision_id"))
-        self._write_ranges(placed, f"{self.page_events_path}/run_id={run_id}/batch_id={batch_id}")
+        _write_ranges(placed, self.page_events_path, "occurred_at", run_id, batch_id)
 
     def _range_of(self, revision_id: str) -> Column:
         return F.expr(f"{revision_id} div {self.revisions_per_range}")
 
     def _touched_ranges(self, events: DataFrame) -> list[int] | None:
-        """Revision ranges of the batch, for partition pruning; None if they are too many to name."""
+        """Revision ranges of the batch, to read no others; None, so all, if they are too many to name."""
         found = events.select("rev_range").distinct().limit(MAX_NAMED_RANGES + 1).collect()
         return None if len(found) > MAX_NAMED_RANGES else [r.rev_range for r in found]
 
-    def _earlier(self, table: DataFrame, ranges: list[int] | None, run_id: str, batch_id: int) -> DataFrame:
-        """Rows of other batches, in the touched ranges: what a repeated batch wrote before is not 'earlier'."""
-        other = table.filter((F.col("run_id") != run_id) | (F.col("batch_id") != batch_id))
-        return other if ranges is None else other.filter(F.col("rev_range").isin(ranges))
 
-    def _write_ranges(self, rows: DataFrame, path: str) -> None:
-        rows.hint("rebalance", F.col("rev_range")).sortWithinPartitions(
-            "rev_range", "wiki", "page_title", "occurred_ts" if "occurred_ts" in rows.columns else "occurred_at"
-        ).write.mode("overwrite").partitionBy("rev_range").parquet(path)
+def _of_other_batches(table: DataFrame, run_id: str, batch_id: int) -> DataFrame:
+    """What a repeated batch wrote the first time is not 'earlier'."""
+    return table.filter((F.col("run_id") != run_id) | (F.col("batch_id") != batch_id))
+
+
+def _write_ranges(rows: DataFrame, path: str, event_time: str, run_id: str, batch_id: int) -> None:
+    """Write a batch's rows, replacing the directories it wrote before if it is a repetition.
+
+    Rebalanced by range: small ranges share a task, a large one is split over several.
+    """
+    placed = rows.withColumn("run_id", F.lit(run_id)).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+    ordered = placed.hint("rebalance", F.col("rev_range")).sortWithinPartitions("rev_range", *PAGE_KEY, event_time)
+    ordered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+        "rev_range", "run_id", "batch_id"
+    ).parquet(path)
 
 
 def append_topic(records: DataFrame, servers: str, topic: str) -> None:

@@ -8,6 +8,7 @@ a failed write leaves the pointer and so the state as it was.
 from __future__ import annotations
 
 import json
+import time
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -78,6 +79,18 @@ class PageStateTable:
             raise RuntimeError("page_state changed while its replacement was being built")
         return self._swap(shadow, shadow["versions"])
 
+    def remove_superseded(self, older_than_seconds: float = 86_400) -> int:
+        """Delete versions the pointer no longer names, once no reader can still be on them."""
+        named = set(self.current()["versions"].values())
+        removed = 0
+        for version in files.partition_values(self.spark, f"{self.root}/data", "version"):
+            path = self._version_dir(version)
+            age = time.time() - files.modified_millis(self.spark, path) / 1000
+            if version not in named and age >= older_than_seconds:
+                files.delete(self.spark, path)
+                removed += 1
+        return removed
+
     def _buckets_in(self, version: str) -> list[str]:
         """Buckets a version has rows of: at most one name per bucket comes to the driver."""
         return files.partition_values(self.spark, self._version_dir(version), "bucket")

@@ -7,9 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import json_checks as J
-from ..schemas import BATCH_ID, FIRST_ARRIVAL, RAW, REV_RANGE, RUN_ID, VALID, stored_at
-
-VALID_STORED = stored_at(VALID, FIRST_ARRIVAL, RUN_ID, BATCH_ID, REV_RANGE)
+from ..schemas import RAW, VALID_STORED
 
 
 # --- captured files ---------------------------------------------------------------

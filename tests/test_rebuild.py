@@ -142,6 +142,15 @@ def test_upsert_leaves_untouched_buckets(built):
     assert table.read().count() == 9
 
 
+def test_superseded_versions_are_removed(built):
+    log, table, _ = built
+    before = snapshot(table)
+    table.upsert(table.read())
+    assert table.remove_superseded() == 0
+    assert table.remove_superseded(older_than_seconds=0) == 1
+    assert snapshot(table) == before
+
+
 def test_empty_table(spark, shared):
     table = PageStateTable(spark, shared)
     assert table.read().isEmpty() and table.lookup("w", "t").isEmpty()
