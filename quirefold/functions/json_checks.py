@@ -9,8 +9,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-JSON_SPACE = " \t\n\r"
-
 
 def parse_wrapped(text: Column) -> Column:
     """VARIANT of the one-element array ``[text]``, NULL if that is not JSON."""
@@ -33,7 +31,7 @@ def is_single_value(wrapped: Column, text: Column) -> Column:
 
 def is_object(text: Column) -> Column:
     """True if valid JSON text is an object."""
-    return F.startswith(F.ltrim(text, F.lit(JSON_SPACE)), F.lit("{"))
+    return text.rlike(r"^[ \t\n\r]*\{")
 
 
 def json_type(variant: Column, path: str) -> Column:

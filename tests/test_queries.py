@@ -1,11 +1,13 @@
 """Every registered query against its SQL on the same tables."""
 
+import os
+
 import duckdb
 import pytest
 
 import __spark_entry__ as entry
 
-SF_DIR = "/root/testdata/sf0.001"
+SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 TABLES = ("events", "orders")
 
 
