@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import json_checks as J
+from ..session import check_configured
 
 # fixed values of the ingest scope
 SERVER_NAME = "en.wikipedia.org"
@@ -16,6 +17,7 @@ MAX_GAP_SECONDS = 10.0
 
 def read_ingest_fields(records: DataFrame, value: str = "value") -> DataFrame:
     """Add the fields the ingest filter, the log key and the pacing need, parsing each record once."""
+    check_configured(records.sparkSession)
     v = F.col("_v")
     text = F.col(value)
     usable = J.is_single_value(v, text)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import instants
 from ..functions import json_checks as J
 from ..schemas import VALID, VALID_FIELDS
+from ..session import check_configured
 
 # fixed values of the validation rules
 MAX_ABS_BYTE_DELTA = 10_000_000
@@ -31,6 +32,7 @@ def classify(raw: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     Takes ``ingest_seq, value`` and any columns to keep; gives them, ``reason`` and the normalized
     columns. ``reason`` is NULL for a valid event, else the first check that failed.
     """
+    check_configured(raw.sparkSession)
     v = F.col("_v")
     text = F.col("value")
     kept = ["ingest_seq", "value", *keep]

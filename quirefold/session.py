@@ -10,15 +10,29 @@ from pyspark.sql import SparkSession
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
-def configure(spark: SparkSession) -> SparkSession:
-    """Set the SQL options that decide results (not sizes) and return the session."""
+# the SQL options that decide results, not sizes
+REQUIRED = {
     # instants are shown and parsed in UTC
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    "spark.sql.session.timeZone": "UTC",
     # a repeated JSON key keeps its last value instead of failing the parse
-    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+    "spark.sql.variant.allowDuplicateKeys": "true",
+}
+
+
+def configure(spark: SparkSession) -> SparkSession:
+    """Set the required options and return the session."""
+    for option, value in REQUIRED.items():
+        spark.conf.set(option, value)
     return spark
 
 
+def check_configured(spark: SparkSession) -> None:
+    """Refuse a session in which the results would be others."""
+    wrong = [option for option, value in REQUIRED.items() if spark.conf.get(option) != value]
+    if wrong:
+        raise RuntimeError(f"call configure(spark) first; not set as required: {', '.join(wrong)}")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder named in spark.checkpoint.dir.
 

@@ -10,7 +10,11 @@ from ..schemas import PAGE_KEY
 from ..sinks.page_state import PageStateTable
 from .validate_stream import triggered
 
-STATE_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+# state on local disk instead of the heap, and checkpoints that hold a trigger's changes only
+STATE_OPTIONS = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
 
 
 def fold_stream(valid: DataFrame) -> DataFrame:
@@ -72,7 +76,8 @@ def start_fold(
     spark: SparkSession, valid: DataFrame, target: PageStateTable, checkpoint: str, drain: bool = False
 ) -> StreamingQuery:
     """Start the fold into a page_state table. A fresh checkpoint folds from the earliest event."""
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_PROVIDER)
+    for option, value in STATE_OPTIONS.items():
+        spark.conf.set(option, value)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         target.upsert(batch)

@@ -61,6 +61,15 @@ def test_shared_dir_is_the_sessions(spark):
     assert session.new_run_dir(spark, "x") != session.new_run_dir(spark, "x")
 
 
+def test_session_must_be_configured(spark):
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        with pytest.raises(RuntimeError, match="timeZone"):
+            ingest.accept(raw(spark, [text()]))
+    finally:
+        session.configure(spark)
+
+
 def test_small_files(spark, shared):
     path = shared + "/pointer"
     assert files.create_new(spark, path, "one")

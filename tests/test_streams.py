@@ -72,6 +72,20 @@ def test_streams_equal_batch(spark, shared, pieces):
     assert events.valid().count() == valid.count()
 
 
+def test_fold_stream_of_an_unmarked_log_drops_copies_itself(spark, shared):
+    """A valid log from a message topic: JSON text, delivered at least once, without our marks."""
+    valid = validate.valid_events(validate.classify(raw(spark, RECORDS[:40] + RECORDS[54:64])))
+    sent = validate.to_valid_json(valid)
+    for copy in range(3):
+        sent.withColumn("ingest_seq", F.col("ingest_seq") + copy * 1000).repartition(2).write.mode("append").parquet(f"{shared}/log")
+    stream = validate.from_valid_json(
+        spark.readStream.schema(sent.schema).option("maxFilesPerTrigger", 1).parquet(f"{shared}/log")
+    )
+    table = PageStateTable(spark, f"{shared}/page_state", buckets=2)
+    start_fold(spark, stream, table, f"{shared}/c", drain=True).awaitTermination()
+    assert same_rows(fold.fold_pages(valid), table.read())
+
+
 def test_repeated_batch_changes_nothing(spark, shared):
     events = EventLogs(spark, shared)
     half = len(RECORDS) // 2
