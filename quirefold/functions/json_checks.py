@@ -26,7 +26,8 @@ def is_single_value(wrapped: Column, text: Column) -> Column:
     second = F.try_variant_get(wrapped, "$[1]", "variant")
     as_member = F.try_parse_json(F.concat(F.lit('{"x":'), text, F.lit("}")))
     alone = first.isNotNull() & second.isNull()
-    return F.coalesce(F.when(F.contains(text, F.lit("]")), alone & as_member.isNotNull()).otherwise(alone), F.lit(False))
+    exact = F.when(F.contains(text, F.lit("]")), alone & as_member.isNotNull()).otherwise(alone)
+    return F.coalesce(exact, F.lit(False))
 
 
 def is_object(text: Column) -> Column:

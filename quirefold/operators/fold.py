@@ -71,11 +71,12 @@ def changelog(valid: DataFrame, max_rows_per_task: int = 1_000_000) -> DataFrame
     # over the editor's events; it joins in as a row of its own with the same sequence. Every
     # branch below uses all columns of what it shares with another, so that the plan reads each
     # shuffle again instead of doing it again.
-    per_editor = events.groupBy(*PAGE_KEY, "editor").agg(F.min("ingest_seq").alias("ingest_seq"), F.count("*").alias("_rows"))
-    debut = per_editor.select(*PAGE_KEY, "ingest_seq", F.when(F.col("_rows") > 0, 1).alias("_new"))
-    applied = events.select(
-        *PAGE_KEY, "ingest_seq", "byte_delta", F.struct("occurred_ts", "revision_id", "editor").alias("_edit"), F.lit(0).alias("_new")
+    per_editor = events.groupBy(*PAGE_KEY, "editor").agg(
+        F.min("ingest_seq").alias("ingest_seq"), F.count("*").alias("_rows")
     )
+    debut = per_editor.select(*PAGE_KEY, "ingest_seq", F.when(F.col("_rows") > 0, 1).alias("_new"))
+    edit = F.struct("occurred_ts", "revision_id", "editor").alias("_edit")
+    applied = events.select(*PAGE_KEY, "ingest_seq", "byte_delta", edit, F.lit(0).alias("_new"))
     marked = applied.unionByName(debut, allowMissingColumns=True)
 
     large = (
@@ -88,9 +89,8 @@ def changelog(valid: DataFrame, max_rows_per_task: int = 1_000_000) -> DataFrame
     cut = marked.join(large, PAGE_KEY, "left").withColumn("_slice", slice_no).drop("_start")
 
     # a range frame: the event and its debut row share a sequence and count as one position
-    running = (
-        Window.partitionBy(*PAGE_KEY, "_slice").orderBy("ingest_seq").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    )
+    in_slice = Window.partitionBy(*PAGE_KEY, "_slice").orderBy("ingest_seq")
+    running = in_slice.rangeBetween(Window.unboundedPreceding, Window.currentRow)
     is_event = F.col("_new") == 0
     measures = {
         "edit_count": F.sum(F.when(is_event, 1).otherwise(0)),
@@ -99,9 +99,8 @@ def changelog(valid: DataFrame, max_rows_per_task: int = 1_000_000) -> DataFrame
         "created_at": F.min("_edit.occurred_ts"),
         "_last": F.max("_edit"),
     }
-    local = cut.select(
-        "ingest_seq", *PAGE_KEY, "_slice", "_new", "_edit", *[m.over(running).alias(name) for name, m in measures.items()]
-    ).filter(is_event)
+    values = [measure.over(running).alias(name) for name, measure in measures.items()]
+    local = cut.select("ingest_seq", *PAGE_KEY, "_slice", "_new", "_edit", *values).filter(is_event)
 
     # the running values are highest, or lowest, at the end of a slice; only the sum needs its last row
     totals = (

@@ -94,7 +94,8 @@ def replay_schedule(
     paced = (
         cut.join(carried, "_slice", "left")
         .withColumn("_gap", F.col("epoch_seconds") - previous)
-        .select("ingest_seq", "epoch_seconds", "_slice", _pause_micros(F.col("_gap"), speed, max_gap).alias("pause_micros"))
+        .withColumn("pause_micros", _pause_micros(F.col("_gap"), speed, max_gap))
+        .drop("_gap", "_carried")
     )
     totals = paced.groupBy("_slice").agg(F.sum("pause_micros").alias("_total"))
     elapsed = totals.select("_slice", F.coalesce(F.sum("_total").over(slices_before), F.lit(0)).alias("_elapsed"))

@@ -98,7 +98,8 @@ def sse_scan(spark, sf_dir):
     path = new_run_dir(spark, "sse")
     two_lines = F.regexp_replace("value", ',"wiki"', ',\ndata:  "wiki"')
     data = F.when(F.col("ingest_seq") % 2 == 0, two_lines).otherwise(F.col("value"))
-    number = F.when(F.col("ingest_seq") % 3 == 0, "").otherwise(F.concat(F.lit("id: "), F.col("ingest_seq").cast("string"), F.lit("\n")))
+    id_line = F.concat(F.lit("id: "), F.col("ingest_seq").cast("string"), F.lit("\n"))
+    number = F.when(F.col("ingest_seq") % 3 == 0, "").otherwise(id_line)
     frame = F.concat(F.lit("event: message\n"), number, F.lit("data: "), data)
     raw_events(spark, sf_dir).select(frame.alias("value")).write.option("lineSep", "\n\n").text(path)
     return logs.sse_events(logs.sse_frames(spark, path))
@@ -288,7 +289,11 @@ def rebuild_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
     started = F.col("o_orderdate").cast("timestamp")
     ended = F.col("o_orderstatus") != "O"
     steps = F.array(
-        F.struct(F.lit(0).alias("step"), F.lit("running").alias("status"), F.lit(None).cast("timestamp").alias("completed_at")),
+        F.struct(
+            F.lit(0).alias("step"),
+            F.lit("running").alias("status"),
+            F.lit(None).cast("timestamp").alias("completed_at"),
+        ),
         F.when(
             ended,
             F.struct(
@@ -304,6 +309,7 @@ def rebuild_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_custkey").cast("bigint").alias("customer"),
         F.inline(F.array_compact(steps)),
     )
+    message = instants.short_error(F.repeat(F.lit("stalled "), 200))
     return rows.select(
         "id",
         "step",
@@ -312,7 +318,7 @@ def rebuild_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
         "status",
         F.when(F.col("status") == "succeeded", F.col("customer")).alias("events_replayed"),
         F.when(F.col("status") == "succeeded", F.lit(0)).cast("bigint").alias("discrepancy_count"),
-        F.when(F.col("status") == "failed", instants.short_error(F.repeat(F.lit("stalled "), 200))).alias("error_message"),
+        F.when(F.col("status") == "failed", message).alias("error_message"),
     ).select(*REBUILD_LOG.fieldNames())
 
 
@@ -346,7 +352,8 @@ def _stream_ledger(spark: SparkSession, sf_dir: str) -> tuple[EventLogs, str]:
     published = logs.raw_log(spark, f"{root}/published")
     n = events_table(spark, sf_dir).agg(F.count("*")).scalar()
     # files are taken in the order they were written: first deliveries, repeats, moved copies
-    for part in (F.col("ingest_seq") < n, (F.col("ingest_seq") >= n) & (F.col("ingest_seq") < 2 * n), F.col("ingest_seq") >= 2 * n):
+    seq = F.col("ingest_seq")
+    for part in (seq < n, (seq >= n) & (seq < 2 * n), seq >= 2 * n):
         append_raw_log(published.filter(part), f"{root}/raw")
     events = EventLogs(spark, root)
     raw = logs.raw_log_stream(spark, f"{root}/raw", max_files=8)
@@ -383,8 +390,9 @@ def rebuild(spark, sf_dir):
     log = RebuildLog(spark, root)
     Rebuild(log, target).run(events.valid())
     outcome = audit.latest_attempt(log.read()).select("id", "status", "events_replayed", "discrepancy_count")
-    pages = target.read().agg(F.count("*").alias("pages"), F.sum("edit_count").alias("edits"))
-    return outcome.withColumn("pages", pages.select("pages").scalar()).withColumn("edits", pages.select("edits").scalar())
+    state = target.read()
+    pages, edits = state.agg(F.count("*")).scalar(), state.agg(F.sum("edit_count")).scalar()
+    return outcome.withColumn("pages", pages).withColumn("edits", edits)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.dedup import upsert
+from ..operators.reads import of_page
 from ..schemas import PAGE_KEY, PAGE_STATE
 from . import files
 
@@ -42,7 +43,7 @@ class PageStateTable:
         pointer = self.current()
         at = self.spark.range(1).select(_bucket(F.lit(wiki), F.lit(page_title), pointer["buckets"])).first()[0]
         touched = [b for b in (str(at),) if b in pointer["versions"]]
-        return self._read_buckets(pointer, touched).filter((F.col("wiki") == wiki) & (F.col("page_title") == page_title))
+        return of_page(self._read_buckets(pointer, touched), wiki, page_title)
 
     def _read_buckets(self, pointer: dict, touched: list[str]) -> DataFrame:
         paths = [f"{self._version_dir(pointer['versions'][b])}/bucket={b}" for b in touched]

@@ -36,10 +36,14 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     total = events.agg(F.count("*")).scalar()
     eid = F.col("event_id")
     arrival = (eid * 7919) % F.col("n")
+
+    def copy(seq, prefix):
+        return F.struct(seq.alias("ingest_seq"), F.lit(prefix).alias("prefix"))
+
     copies = F.array(
-        F.struct(arrival.alias("ingest_seq"), F.lit("page-").alias("prefix")),
-        F.when(eid % 10 == 1, F.struct((arrival + F.col("n")).alias("ingest_seq"), F.lit("page-").alias("prefix"))),
-        F.when(eid % 100 == 12, F.struct((arrival + 2 * F.col("n")).alias("ingest_seq"), F.lit("moved-").alias("prefix"))),
+        copy(arrival, "page-"),
+        F.when(eid % 10 == 1, copy(arrival + F.col("n"), "page-")),
+        F.when(eid % 100 == 12, copy(arrival + 2 * F.col("n"), "moved-")),
     )
     rows = spread(events, "event_id").withColumn("n", total).select("*", F.inline(F.array_compact(copies)))
 
