@@ -44,7 +44,7 @@ def shingle_hashes(text: Column, words: int = WORDS) -> Column:
         return F.when(F.size(h) >= words, runs).otherwise(whole)
 
     narrowed = F.transform(let(hashed, shingles), lambda x: F.shiftrightunsigned(x, 64 - HASH_BITS))
-    return F.array_sort(F.array_distinct(narrowed))
+    return F.sort_array(F.array_distinct(narrowed))
 
 
 def sketch(text: Column, fraction: float = FRACTION, floor: int = FLOOR) -> Column:
@@ -72,7 +72,7 @@ def merged(a: Column, b: Column) -> Column:
     """Sketch of the union of two shingle sets; ``shingles`` is then an estimate."""
 
     def union(below: Column) -> Column:
-        kept = F.filter(F.array_sort(F.array_union(a["hashes"], b["hashes"])), lambda x: x < below)
+        kept = F.filter(F.sort_array(F.array_union(a["hashes"], b["hashes"])), lambda x: x < below)
         scale = F.lit(float(EVERYTHING)) / below
         return F.struct(
             kept.alias("hashes"), below.alias("below"), F.round(F.size(kept) * scale).cast("int").alias("shingles")
@@ -123,7 +123,7 @@ def with_next(docs: DataFrame, following: list[str], key: str = "doc_id") -> Dat
 
     Rows are dealt into key ranges by quantiles; a range's last row gets its successor from the
     first rows of the ranges, which are one row per range. Rows of equal key are ordered by the
-    columns that are passed on; a null key comes last. A single row follows itself.
+    first column that is passed on; a null key comes last. A single row follows itself.
     """
     n = tasks(docs.sparkSession)
     place = F.coalesce(F.col(key), F.lit(-(1 << 63)))
@@ -141,13 +141,20 @@ def with_next(docs: DataFrame, following: list[str], key: str = "doc_id") -> Dat
         ).otherwise(at),
     )
     dealt = docs.withColumn("_part", part)
-    order = [F.col(key).desc_nulls_last(), *(F.col(c) for c in following)]
+    order = [place.desc(), F.col(following[0])]
     in_part = Window.partitionBy("_part").orderBy(*order)
     placed = dealt.withColumns(
-        {"_last": F.lead(F.lit(False), 1, True).over(in_part), "_first": F.row_number().over(in_part) == 1}
+        {"_last": F.lead(F.lit(False), 1, True).over(in_part)}
         | {f"next_{c}": F.lead(c).over(in_part) for c in following}
     )
-    heads = dealt.withColumn("_row", F.row_number().over(in_part)).filter("_row = 1")
+    tops = dealt.groupBy("_part").agg(F.max(place).alias("_top"))
+    # one row per range, so small enough to send to every task
+    at_top = (F.col("_part") == F.col("_tp")) & (place == F.col("_top"))
+    heads = (
+        dealt.join(F.broadcast(tops.withColumnRenamed("_part", "_tp")), at_top, "left_semi")
+        .withColumn("_row", F.row_number().over(in_part))
+        .filter("_row = 1")
+    )
     around = Window.orderBy(F.col("_part").desc())  # one row per range
     ends = Window.orderBy(F.col("_part").desc()).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     edges = heads.select(
@@ -157,7 +164,7 @@ def with_next(docs: DataFrame, following: list[str], key: str = "doc_id") -> Dat
     return (
         placed.join(edges, "_part")
         .withColumns({f"next_{c}": F.when(F.col("_last"), F.col(f"_edge_{c}")).otherwise(F.col(f"next_{c}")) for c in following})
-        .drop("_part", "_last", "_first", *(f"_edge_{c}" for c in following))
+        .drop("_part", "_last", *(f"_edge_{c}" for c in following))
     )
 
 
