@@ -2,15 +2,30 @@
 
 from __future__ import annotations
 
+from .decontaminate import OP8_SQL, op8_prefix_filtered_windows
 from .fingerprints import op6_threshold_sketch
+from .packing import op5_tiered_packing
+from .setjoin import op2_set_relation_join
 from .sharding import op9_hilbert_sharding
+from .tokenfiles import op3_elias_fano_ids
+from .urlfilter import OP1_SQL, op1_redirect_equivalence
+from .warc import op7_content_addressed_archive
 
 QUERIES = {
     f.__name__: f
     for f in (
+        op1_redirect_equivalence,
+        op2_set_relation_join,
+        op3_elias_fano_ids,
+        op5_tiered_packing,
         op6_threshold_sketch,
+        op7_content_addressed_archive,
+        op8_prefix_filtered_windows,
         op9_hilbert_sharding,
     )
 }
 
-SQL: dict[str, str] = {}
+SQL = {
+    "op1_redirect_equivalence": OP1_SQL,
+    "op8_prefix_filtered_windows": OP8_SQL,
+}

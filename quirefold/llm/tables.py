@@ -2,12 +2,21 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import new_run_dir
 
 
+#: where the library lies; workers look for it in the same place
+HOME = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+    if HOME not in paths:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([HOME, *filter(None, paths)])
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
