@@ -36,7 +36,7 @@ SHINGLE = 5
 FILTER_BITS = 1 << 24
 
 WINDOWS = "item_id string, words int, text binary, shingles array<struct<hash: bigint, at: int>>, size int"
-PLACES = "doc_id bigint, row bigint, n_words bigint, places array<struct<size: int, hash: bigint, at: int, before: int, words: binary>>"
+PLACES = "doc_id bigint, row string, n_words bigint, places array<struct<size: int, hash: bigint, at: int, before: int, words: binary>>"
 
 
 def item_windows(window: int, shingle: int):
@@ -164,6 +164,11 @@ def occurrences(places: DataFrame, windows: DataFrame) -> DataFrame:
     )
 
 
+def row_key():
+    """Names a row's contents: rows that repeat share it, and with it their result."""
+    return F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit("-"), F.xxhash64("text").cast("string"))
+
+
 def contamination(
     docs: DataFrame, items: DataFrame, window: int = ITEM_WINDOW, shingle: int = SHINGLE, filter_bits: int = FILTER_BITS
 ) -> DataFrame:
@@ -179,7 +184,7 @@ def contamination(
     windows = stored(windows, "item-windows")
     bits, sizes = shingle_filter(windows, filter_bits)
     shared = spark.sparkContext.broadcast(bits)
-    rows = docs.select("doc_id", F.monotonically_increasing_id().alias("row"), "text")
+    rows = docs.select("doc_id", row_key().alias("row"), "text")
     scanned = stored(rows.mapInArrow(find_places(shared, filter_bits, sizes, window), PLACES), "scanned")
     found = stored(occurrences(scanned.filter("size(places) > 0"), windows), "occurrences")
     covered = Window.partitionBy("row").orderBy("start", "stop").rowsBetween(Window.unboundedPreceding, -1)
@@ -206,6 +211,13 @@ def contamination(
     )
 
 
+def without_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """The rows of ``docs`` in which no window of an item occurs, with all their columns."""
+    found = contamination(docs, items)
+    bad = stored(found.filter("contaminated").select("row").distinct(), "contaminated")
+    return docs.withColumn("_row", row_key()).join(bad.withColumnRenamed("row", "_row"), "_row", "left_anti").drop("_row")
+
+
 def op8_prefix_filtered_windows(spark, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("row")
 

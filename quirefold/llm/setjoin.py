@@ -418,5 +418,16 @@ def join_documents(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     )
 
 
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """One row of each component: that of its smallest doc_id. Rows without doc_id all stay.
+
+    A doc_id names one document; of rows that repeat it one stays.
+    """
+    heads = join_documents(docs).filter("doc_id = component_id").select("doc_id").distinct()
+    heads = stored(heads, "component-heads")
+    kept = docs.join(heads, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns)
+    return kept.unionAll(docs.filter("doc_id is null"))
+
+
 def op2_set_relation_join(spark, sf_dir: str) -> DataFrame:
     return join_documents(table(spark, sf_dir, "documents"))
