@@ -1,25 +1,40 @@
 """Token ids by a public tokenizer, inside tasks, at the speed of a dictionary.
 
 The tokenizer's pre-tokenizer never joins across a space that follows a non-space: what follows
-such a space is another word, and the space belongs to it. So a text falls apart there into segments
-that are encoded on their own, and a segment's ids are remembered as bytes. Most segments of a
-corpus repeat; a text is then one dictionary look-up per segment and one join of bytes.
+such a space is another word, and the space belongs to it. So a text falls apart there into words
+that are encoded on their own, and a word's ids are remembered as bytes. Most words of a corpus
+repeat; a text is then one dictionary look-up per word and one join of bytes. A new word of letters
+alone is a single pre-token: it goes straight to the tokenizer's byte-pair model, in the byte-level
+alphabet that the pre-tokenizer would write it in.
 """
 
 from __future__ import annotations
 
 import os
 import re
-from collections.abc import Iterable
+from array import array
 
-import numpy as np
-
-#: remembered segments per worker process; the older half is forgotten beyond it
-REMEMBERED = 400_000
+#: remembered words per worker process, about 200 bytes each; the older half is forgotten beyond it
+REMEMBERED = 1_200_000
+BATCH = 5000
 
 #: white space before a space: no safe cut there
 UNSAFE = re.compile(r"\s ")
 SAFE_CUT = re.compile(r"(?<=\S)(?= )")
+#: letters before these end a token, and they start the next
+ENDS = frozenset(",.")
+
+#: words of letters up to here take the short way
+LATIN = "\u024f"
+
+
+def byte_alphabet() -> dict[int, int]:
+    """The byte-level alphabet: visible Latin-1 characters stand for their bytes, the code points
+    from 256 on for the other bytes, in order."""
+    visible = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = [b for b in range(256) if b not in visible]
+    return {b: 256 + k for k, b in enumerate(others)}
+
 
 _encoders: dict[str, Encoder] = {}
 
@@ -31,47 +46,65 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their spellings in a text are text
+        # ids of " " + word, by word
         self.recent: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        self.ends = {end: self.encode([end])[0] for end in ENDS}
+        self.alphabet = byte_alphabet()
+        self.model = self.tokenizer.model
 
-    def segments(self, text: str) -> list[str]:
-        if UNSAFE.search(text):
-            return SAFE_CUT.split(text)
-        first, *rest = text.split(" ")
-        return [first, *(" " + word for word in rest)] if first else [" " + word for word in rest]
+    def encode(self, texts: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
+        return [array("I", f.ids).tobytes() for f in found]
 
-    def learn(self, missing: Iterable[str]) -> None:
-        missing = list(missing)
-        if len(self.recent) + len(missing) > REMEMBERED // 2:
+    def letters(self, word: str) -> bytes:
+        """Ids of a space and a word of letters."""
+        written = f" {word}".encode().decode("latin-1").translate(self.alphabet)
+        return array("I", [token.id for token in self.model.tokenize(written)]).tobytes()
+
+    def learn(self, words: set[str]) -> None:
+        if len(self.recent) + len(words) > REMEMBERED // 2:
             self.older, self.recent = self.recent, {}
-        for at in range(0, len(missing), 5000):
-            part = missing[at : at + 5000]
-            for segment, found in zip(part, self.tokenizer.encode_batch(part, add_special_tokens=False), strict=True):
-                self.recent[segment] = np.array(found.ids, "<u4").tobytes()
+        missing, ended = [], []
+
+        def look_up(word: str) -> None:
+            if word.isalpha() and max(word) <= LATIN:
+                self.recent[word] = self.letters(word)
+            else:
+                missing.append(word)
+
+        for word in words:
+            if word in self.older:
+                self.recent[word] = self.older[word]
+            elif word[-1:] in ENDS and word[-2:-1].isascii() and word[-2:-1].isalpha():
+                ended.append(word)
+                if word[:-1] not in self.recent and word[:-1] not in words:
+                    look_up(word[:-1])
+            else:
+                look_up(word)
+        for at in range(0, len(missing), BATCH):
+            part = missing[at : at + BATCH]
+            self.recent.update(zip(part, self.encode([" " + word for word in part]), strict=True))
+        for word in ended:
+            self.recent[word] = self.recent[word[:-1]] + self.ends[word[-1]]
 
     def ids(self, text: str | None) -> bytes:
         """The ids as little-endian unsigned 32-bit integers; of a null text none."""
         if not text:
             return b""
-        cut = self.segments(text)
-        recent = self.recent
-        try:
-            return b"".join([recent[s] for s in cut])
-        except KeyError:
-            pass
-        missing = set()
-        own = {}
-        for s in cut:
-            if s in recent:
-                own[s] = recent[s]
-            elif s in self.older:
-                own[s] = recent[s] = self.older[s]
-            else:
-                missing.add(s)
-        if missing:
-            self.learn(missing)
-            own.update((s, self.recent[s]) for s in missing)
-        return b"".join([own[s] for s in cut])
+        if UNSAFE.search(text):
+            first, *words = SAFE_CUT.split(text)
+            words = [word[1:] for word in words]
+        else:
+            first, *words = text.split(" ")
+        found = list(map(self.recent.get, words))
+        if None in found:
+            gaps = [k for k, ids in enumerate(found) if ids is None]
+            self.learn({words[k] for k in gaps})
+            recent = self.recent.get
+            for k in gaps:
+                found[k] = recent(words[k])
+        return (self.encode([first])[0] if first else b"") + b"".join(found)
 
 
 def encoder(path: str) -> Encoder:
