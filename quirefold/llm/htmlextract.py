@@ -225,7 +225,10 @@ def layout(draw: random.Random, texts: list[str]) -> tuple[list[Block], list[int
     article = f"{tag}{''.join(inside)}</{tag[1:].split()[0].rstrip('>')}>"
     before = [part(kind) for kind in ("notice", "header", "menu", "advert", "sidebar") if draw.random() < 0.55]
     after = [part(kind) for kind in ("sidebar", "advert", "comments", "form", "notice", "footer") if draw.random() < 0.5]
-    html = f"<html><head><title>{words(50)}</title></head><body>{''.join(before)}{article}{''.join(after)}</body></html>"
+    if draw.random() < 0.15:
+        before, after = [], []
+    head = f"<head><title>{words(50)}</title></head>" if draw.random() < 0.6 else ""
+    html = f"<html>{head}<body>{''.join(before)}{article}{''.join(after)}</body></html>"
     blocks = leaf_blocks(html)[:TRAIN_BLOCKS]
     labels = [int(b.text.startswith(marker)) for b in blocks]
     return [b._replace(text=b.text.lstrip(marker).strip() or "-") for b in blocks], labels

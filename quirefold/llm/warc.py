@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import new_run_dir
+from .fingerprints import let
 from .tables import stored, table
 
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
@@ -33,16 +34,17 @@ def base32_of_hex(digest: Column) -> Column:
     letters = F.lit(BASE32)
 
     def group(at: Column) -> Column:
-        value = F.conv(F.substr(digest, at * 5 + 1, F.lit(5)), 16, 10).cast("int")
+        value = F.conv(F.substr(digest, at * F.lit(5) + F.lit(1), F.lit(5)), 16, 10).cast("int")
         return F.concat(
             *(F.substr(letters, F.shiftright(value, by).bitwiseAND(F.lit(31)) + 1, F.lit(1)) for by in (15, 10, 5, 0))
         )
 
-    return F.array_join(F.transform(F.sequence(F.lit(0), F.length(digest) / F.lit(5) - 1), lambda at: group(at.cast("int"))), "")
+    groups = F.sequence(F.lit(0), (F.length(digest) / F.lit(5)).cast("int") - F.lit(1))
+    return F.array_join(F.transform(groups, group), "")
 
 
 def sha1_base32(payload: Column) -> Column:
-    return base32_of_hex(F.sha1(payload))
+    return let(F.sha1(payload), base32_of_hex)
 
 
 def record_id(page_id: Column) -> Column:
@@ -133,7 +135,7 @@ def read_records(spark: SparkSession, folder: str) -> DataFrame:
 
 def header_field(head: Column, name: str) -> Column:
     """The value of a header line, or null."""
-    after = F.substring_index(head, F.lit(f"{CRLF}{name}: "), -1)
+    after = F.substring_index(head, f"{CRLF}{name}: ", -1)
     return F.when(F.locate(f"{CRLF}{name}: ", head) > 0, F.substring_index(after, CRLF, 1))
 
 
