@@ -55,7 +55,7 @@ def text_features(block: Block, place: int, count: int) -> list[str]:
         f"links:{density}",
         f"ends:{text[-1] if text[-1] in '.!?:;,' else 'x'}",
         f"words:{bucket(text.count(' ') + 1)}",
-        f"place:{4 * place // count}",
+        f"place:{4 * place // count if count > 3 else 'few'}",
         "mark:copyright" if "©" in text else "mark:none",
     ]
 
