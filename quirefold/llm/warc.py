@@ -111,11 +111,17 @@ def write_archive(pages: DataFrame, folder: str, least_bytes: int = 0) -> None:
     owned.select("page_id", "key", head.alias("head"), F.lit(CRLF + CRLF).cast("binary").alias("tail")).write.parquet(
         f"{folder}/headers"
     )
-    # the owner's row brings the payload: page ids spread it evenly, whatever the payload
-    bearer = rows.join(owners.filter("owner is not null").select(F.col("owner").alias("page_id"), "key"), "page_id")
-    lost = rows.filter("page_id is null").join(owners.filter("owner is null").select("key"), F.sha2("payload", 256) == F.col("key"))
-    bearers = bearer.filter(F.sha2("payload", 256) == F.col("key")).select("key", "payload").unionAll(lost.select("key", "payload"))
-    bearers.dropDuplicates(["key"]).write.parquet(f"{folder}/payloads")
+    # the owner's row brings the payload: page ids spread it evenly, whatever the payload; rows that
+    # repeat it lie together already
+    bearers = (
+        rows.join(owners.filter("owner is not null").withColumnRenamed("owner", "page_id"), "page_id")
+        .filter(F.sha2("payload", 256) == F.col("key"))
+        .dropDuplicates(["page_id", "key"])
+        .select("key", "payload")
+    )
+    nameless = rows.filter("page_id is null").select(F.sha2("payload", 256).alias("key"), "payload")
+    nameless = nameless.join(owners.filter("owner is null").select("key"), "key").dropDuplicates(["key"])
+    bearers.unionByName(nameless).write.parquet(f"{folder}/payloads")
 
 
 def read_records(spark: SparkSession, folder: str) -> DataFrame:
