@@ -1,4 +1,7 @@
-"""First-arrival deduplication: of all copies of a key, the one with the lowest ingest_seq counts."""
+"""First-arrival deduplication: of all copies of a key, the one with the lowest ingest_seq counts.
+
+Copies may carry the same number, as a redelivered record does; of those, the smallest contents count.
+"""
 
 from __future__ import annotations
 
@@ -7,20 +10,14 @@ from pyspark.sql import functions as F
 
 
 def first_arrival(events: DataFrame, keys: list[str], order: str = "ingest_seq") -> DataFrame:
-    """One row per key, the first to arrive. ``order`` is unique within a key.
+    """One row per key, the first to arrive.
 
     An aggregate, not a window: each task reduces its copies before the shuffle, so a
     key with very many copies costs the receiving task one row per sending task.
     """
     rest = [c for c in events.columns if c not in keys and c != order]
-    first = F.min_by(F.struct(*rest), order).alias("_first")
-    found = events.groupBy(*keys).agg(F.min(order).alias(order), first)
-    return found.select(*keys, order, "_first.*").select(*events.columns)
-
-
-def first_sequence(events: DataFrame, keys: list[str], order: str = "ingest_seq") -> DataFrame:
-    """Key and ingest_seq of the first arrival only."""
-    return events.groupBy(*keys).agg(F.min(order).alias(order))
+    found = events.groupBy(*keys).agg(F.min(F.struct(order, *rest)).alias("_first"))
+    return found.select(*keys, "_first.*").select(*events.columns)
 
 
 def not_yet_in(events: DataFrame, earlier: DataFrame, keys: list[str]) -> DataFrame:

@@ -14,7 +14,14 @@ from ..sinks.rebuild_log import RebuildLog
 
 
 class RebuildRefused(Exception):
-    """A rebuild is running, or one finished within the cooldown."""
+    """No rebuild may start now; ``reason`` says why."""
+
+    def __init__(self, reason: str):
+        super().__init__(reason)
+        self.reason = reason
+
+
+LOCKED, COOLING = "locked", "cooldown"
 
 
 class Rebuild:
@@ -28,18 +35,19 @@ class Rebuild:
         self.spark = target.spark
         self.log = log
         self.target = target
-        self.running: dict | None = None
 
     def run(self, valid: DataFrame, asof=None) -> dict:
         """Rebuild and give the audit row of the attempt. Raises RebuildRefused if one may not start."""
         attempt, started_at = self._begin(asof)
         try:
             before = self.target.current()
-            self.running = {"id": attempt, "total": valid.count()}
             counted = Observation(f"replay-{attempt}")
             replayed = valid.observe(counted, F.count(F.lit(1)).alias("events"))
-            shadow = self.target.write_shadow(fold_pages(replayed))
-            events = self.running["processed"] = counted.get["events"]
+            if "first_arrival" in valid.columns:
+                # which copy counts was settled when the log was written, for the stream and for us
+                replayed = replayed.filter("first_arrival")
+            shadow = self._as_job_group(attempt, lambda: self.target.write_shadow(fold_pages(replayed)))
+            events = counted.get["events"]
             different = compare.discrepancy_count(self.target.read(before), self.target.read(shadow)).first()[0]
             self.target.swap_in(shadow, before)
             self.log.append(attempt, 1, "succeeded", started_at, _now(), events, different)
@@ -47,18 +55,17 @@ class Rebuild:
             # page_state still points at the old snapshot; the shadow is never read
             self.log.append(attempt, 1, "failed", started_at, _now(), error_message=str(error))
         finally:
-            self.running = None
             self.log.unlock()
-        return self.status()
+        return self.status().first().asDict()
 
     def _begin(self, asof) -> tuple[int, datetime]:
         if not self.log.try_lock():
-            raise RebuildRefused("a rebuild is running")
+            raise RebuildRefused(LOCKED)
         try:
             self._close_abandoned()
             guard = audit.start_guard(self.log.read(), asof).first()
             if not guard.may_start:
-                raise RebuildRefused("a rebuild is running" if guard.is_running else "a rebuild has just finished")
+                raise RebuildRefused(LOCKED if guard.is_running else COOLING)
             attempt, started_at = self.log.next_id(), _now()
             self.log.append(attempt, 0, "running", started_at)
             return attempt, started_at
@@ -71,18 +78,34 @@ class Rebuild:
         for row in audit.current_status(self.log.read()).filter("status = 'running'").toLocalIterator():
             self.log.append(row.id, 1, "failed", row.started_at, row.started_at, error_message="abandoned")
 
-    def status(self) -> dict:
-        """The newest attempt, with its progress while it runs; status None if there was none."""
-        row = audit.latest_attempt(self.log.read()).first()
-        if row is None:
-            return {"status": None}
-        found = row.asDict()
-        del found["step"]
-        if self.running and self.running["id"] == found["id"] and found["status"] == "running":
-            total, processed = self.running["total"], self.running.get("processed", 0)
-            share = min(processed / total, 1.0) if total else 0.0
-            found.update(total_known_events=total, processed=processed, progress=share)
-        return found
+    def _as_job_group(self, attempt: int, write):
+        """Run a write as a job group of its own, by which its progress can be asked for."""
+        context = self.spark.sparkContext
+        context.setLocalProperty("spark.jobGroup.id", self._group(attempt))
+        try:
+            return write()
+        finally:
+            context.setLocalProperty("spark.jobGroup.id", None)
+
+    def _group(self, attempt: int) -> str:
+        return f"rebuild {self.log.path} {attempt}"
+
+    def tasks_done(self, attempt: int) -> tuple[int, int]:
+        """Tasks that the replay of an attempt has finished, and those known so far."""
+        tracker = self.spark.sparkContext.statusTracker()
+        jobs = [tracker.getJobInfo(j) for j in tracker.getJobIdsForGroup(self._group(attempt))]
+        stages = [tracker.getStageInfo(s) for job in jobs if job for s in job.stageIds]
+        known = [stage for stage in stages if stage]
+        return sum(s.numCompletedTasks for s in known), sum(s.numTasks for s in known)
+
+    def status(self) -> DataFrame:
+        """The newest attempt as one row; no row before the first. ``progress`` is the share of the
+        replay's tasks that are done, of those Spark has planned so far; 1 when it is over."""
+        newest = audit.latest_attempt(self.log.read()).drop("step")
+        attempt = newest.select("id").first()
+        done, known = self.tasks_done(attempt.id) if attempt else (0, 0)
+        share = audit.progress(F.lit(done), F.lit(known))
+        return newest.withColumn("progress", F.when(F.col("status") == "running", share).otherwise(F.lit(1.0)))
 
 
 def _now() -> datetime:

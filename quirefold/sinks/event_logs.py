@@ -3,7 +3,7 @@
 Each batch owns the directories ``run_id=R/batch_id=N``, in valid log and ledger one below each
 range of revision ids it has events in. A batch that is repeated after a failure writes the
 same rows over them, so every record counts once. Looking for earlier copies of a revision
-lists and reads its range only, and not the history of all batches.
+reads the batch's ranges only: the earlier rows are semi-joined on the range, their partition column.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.dedup import first_sequence, not_yet_in
+from ..operators.dedup import first_arrival, not_yet_in
 from ..operators.validate import dead_letters, to_page_events, valid_events
 from ..schemas import (
     BATCH_ID,
@@ -28,9 +28,6 @@ from ..schemas import (
 )
 from . import files
 
-# the most revision ranges named in a scan; a batch spread wider reads them all
-MAX_NAMED_RANGES = 2000
-
 
 class EventLogs:
     """The three tables under one root."""
@@ -44,71 +41,64 @@ class EventLogs:
         self.page_events_path = f"{self.root}/page_events"
 
     # --- reads ---
-    def valid(self, ranges: list[int] | None = None) -> DataFrame:
-        return self._read(self.valid_path, VALID_STORED, ranges)
+    def valid(self) -> DataFrame:
+        return self._read(self.valid_path, VALID_STORED)
 
     def deadletter(self) -> DataFrame:
-        return self._read(self.deadletter_path, stored_at(DEADLETTER, RUN_ID, BATCH_ID), None)
-
-    def page_events(self, ranges: list[int] | None = None) -> DataFrame:
-        return self._read(self.page_events_path, stored_at(PAGE_EVENTS, REV_RANGE, RUN_ID, BATCH_ID), ranges)
-
-    def _read(self, path: str, schema, ranges: list[int] | None) -> DataFrame:
-        """A table, or those directories of it that hold the given ranges."""
-        paths = [path] if files.exists(self.spark, path) else []
-        if paths and ranges is not None:
-            held = set(files.partition_values(self.spark, path, "rev_range"))
-            paths = [f"{path}/rev_range={r}" for r in ranges if str(r) in held]
-        if not paths:
+        return self._read(self.deadletter_path, stored_at(DEADLETTER, RUN_ID, BATCH_ID))
+
+    def page_events(self) -> DataFrame:
+        return self._read(self.page_events_path, stored_at(PAGE_EVENTS, REV_RANGE, RUN_ID, BATCH_ID))
+
+    def _read(self, path: str, schema) -> DataFrame:
+        if not files.exists(self.spark, path):
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).option("basePath", path).parquet(*paths)
+        return self.spark.read.schema(schema).parquet(path)
 
     # --- writes ---
     def write_batch(self, classified: DataFrame, run_id: str, batch_id: int, ingested_at: Column) -> None:
         """Write all three outputs of one classified batch. The caller has persisted it."""
         self.write_deadletter(dead_letters(classified), run_id, batch_id)
         events = valid_events(classified).withColumn("rev_range", self._range_of("revision_id"))
-        ranges = self._touched_ranges(events)
-        self.write_valid(events, ranges, run_id, batch_id)
-        self.append_ledger(events, ranges, run_id, batch_id, ingested_at)
+        self.write_valid(events, run_id, batch_id)
+        self.append_ledger(events, run_id, batch_id, ingested_at)
 
     def write_deadletter(self, dead: DataFrame, run_id: str, batch_id: int) -> None:
         dead.write.mode("overwrite").parquet(f"{self.deadletter_path}/run_id={run_id}/batch_id={batch_id}")
 
-    def write_valid(self, events: DataFrame, ranges: list[int] | None, run_id: str, batch_id: int) -> None:
-        """Append valid events, copies included; the first of each page and revision is marked."""
-        earlier = _of_other_batches(self.valid(ranges), run_id, batch_id).filter("first_arrival")
-        first = not_yet_in(first_sequence(events, FOLD_KEY), earlier, FOLD_KEY)
-        # joining on the sequence too: copies of one revision do not meet in one task
-        marks = first.withColumn("first_arrival", F.lit(True))
-        marked = events.join(marks, [*FOLD_KEY, "ingest_seq"], "left").withColumn(
-            "first_arrival", F.coalesce("first_arrival", F.lit(False))
+    def write_valid(self, events: DataFrame, run_id: str, batch_id: int) -> None:
+        """Append valid events, copies included; exactly one of each page and revision is marked."""
+        earlier = _of_other_batches(self.valid(), events, run_id, batch_id).filter("first_arrival")
+        first = not_yet_in(first_arrival(events, FOLD_KEY), earlier, FOLD_KEY)
+        rest = [c for c in events.columns if c not in FOLD_KEY and c != "ingest_seq"]
+        marks = first.select(*FOLD_KEY, "ingest_seq", F.struct(*rest).alias("_first"))
+        # equal copies as one row with their number: one of them is marked; joining on the sequence
+        # too, copies of one revision do not meet in one task
+        copies = events.groupBy(*events.columns).agg(F.count("*").cast("int").alias("_copies"))
+        is_first = F.col("_first").isNotNull() & F.struct(*rest).eqNullSafe(F.col("_first"))
+        marked = (
+            copies.join(marks, [*FOLD_KEY, "ingest_seq"], "left")
+            .select("*", F.posexplode(F.array_repeat(F.lit(0), F.col("_copies"))).alias("_copy", "_"))
+            .withColumn("first_arrival", is_first & (F.col("_copy") == 0))
         )
         out = marked.select(*VALID.fieldNames(), "first_arrival", "rev_range")
         _write_ranges(out, self.valid_path, "occurred_ts", run_id, batch_id)
 
-    def append_ledger(
-        self, events: DataFrame, ranges: list[int] | None, run_id: str, batch_id: int, ingested_at: Column
-    ) -> None:
+    def append_ledger(self, events: DataFrame, run_id: str, batch_id: int, ingested_at: Column) -> None:
         """Insert events whose revision the ledger does not hold yet; the first to arrive wins."""
-        earlier = _of_other_batches(self.page_events(ranges), run_id, batch_id)
-        first = not_yet_in(first_sequence(events, LEDGER_KEY), earlier, LEDGER_KEY)
-        rows = to_page_events(events.join(first, [*LEDGER_KEY, "ingest_seq"], "left_semi"), ingested_at)
-        placed = rows.withColumn("rev_range", self._range_of("revision_id"))
+        earlier = _of_other_batches(self.page_events(), events, run_id, batch_id)
+        first = not_yet_in(first_arrival(events, LEDGER_KEY), earlier, LEDGER_KEY)
+        placed = to_page_events(first, ingested_at).withColumn("rev_range", self._range_of("revision_id"))
         _write_ranges(placed, self.page_events_path, "occurred_at", run_id, batch_id)
 
     def _range_of(self, revision_id: str) -> Column:
         return F.expr(f"{revision_id} div {self.revisions_per_range}")
 
-    def _touched_ranges(self, events: DataFrame) -> list[int] | None:
-        """Revision ranges of the batch, to read no others; None, so all, if they are too many to name."""
-        found = events.select("rev_range").distinct().limit(MAX_NAMED_RANGES + 1).collect()
-        return None if len(found) > MAX_NAMED_RANGES else [r.rev_range for r in found]
-
 
-def _of_other_batches(table: DataFrame, run_id: str, batch_id: int) -> DataFrame:
-    """What a repeated batch wrote the first time is not 'earlier'."""
-    return table.filter((F.col("run_id") != run_id) | (F.col("batch_id") != batch_id))
+def _of_other_batches(table: DataFrame, events: DataFrame, run_id: str, batch_id: int) -> DataFrame:
+    """Stored rows in the events' ranges; what a repeated batch wrote the first time is not 'earlier'."""
+    others = table.filter((F.col("run_id") != run_id) | (F.col("batch_id") != batch_id))
+    return others.join(events.select("rev_range").distinct(), "rev_range", "left_semi")
 
 
 def _write_ranges(rows: DataFrame, path: str, event_time: str, run_id: str, batch_id: int) -> None:

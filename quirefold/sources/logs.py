@@ -120,8 +120,8 @@ def valid_log_stream(spark: SparkSession, path: str, max_files: int | None = Non
 
 
 def first_match(log: DataFrame, predicate: Column) -> DataFrame:
-    """At most one record that satisfies the predicate; stops when found."""
-    return log.filter(predicate).limit(1)
+    """The earliest record that satisfies the predicate, if there is one."""
+    return log.filter(predicate).orderBy("ingest_seq").limit(1)
 
 
 def table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

@@ -1,17 +1,19 @@
 """The read model table and its rebuild."""
 
+import threading
 import time
 from datetime import datetime, timedelta, timezone
 
 import pytest
 from pyspark.sql import functions as F
 
-from quirefold.operators import audit, compare, fold, reads
+from quirefold.operators import audit, compare, fold, reads, validate
 from quirefold.plans.rebuild import Rebuild, RebuildRefused
 from quirefold.sinks import files
+from quirefold.sinks.event_logs import EventLogs
 from quirefold.sinks.page_state import PageStateTable
 from quirefold.sinks.rebuild_log import RebuildLog
-from support import fold_rows, valid
+from support import fold_rows, raw, text, valid
 
 ROWS = [(i, f"p{i % 9}", i % 40, f"e{i % 5}", i % 11 - 5, (i * 7) % 300) for i in range(60)]
 LATER = datetime.now(timezone.utc) + timedelta(hours=1)
@@ -34,12 +36,12 @@ def snapshot(table):
 def test_rebuild_is_deterministic(built):
     log, table, rebuild = built
     before = snapshot(table)
-    assert rebuild.status() == {"status": None}
+    assert rebuild.status().isEmpty()
     outcome = rebuild.run(log)
     assert (outcome["status"], outcome["discrepancy_count"], outcome["events_replayed"]) == ("succeeded", 0, 60)
     assert snapshot(table) == before
     # refused within the cooldown, allowed after it
-    with pytest.raises(RebuildRefused, match="just finished"):
+    with pytest.raises(RebuildRefused, match="cooldown"):
         rebuild.run(log)
     assert rebuild.run(log, asof=LATER)["id"] == 2
     assert snapshot(table) == before
@@ -61,7 +63,7 @@ def test_one_rebuild_at_a_time(built, shared):
     log, table, rebuild = built
     other = Rebuild(RebuildLog(table.spark, shared), table)
     assert other.log.try_lock()
-    with pytest.raises(RebuildRefused, match="running"):
+    with pytest.raises(RebuildRefused, match="locked"):
         rebuild.run(log)
     other.log.unlock()
     assert rebuild.run(log)["status"] == "succeeded"
@@ -76,7 +78,7 @@ def test_failure_leaves_the_state(built):
     assert outcome["status"] == "failed" and len(outcome["error_message"]) == 1000
     assert table.current() == pointer and snapshot(table) == before
     # a failure has its cooldown too, and gives the lock back
-    with pytest.raises(RebuildRefused, match="just finished"):
+    with pytest.raises(RebuildRefused, match="cooldown"):
         rebuild.run(log)
     assert rebuild.run(log, asof=LATER)["status"] == "succeeded"
 
@@ -103,14 +105,37 @@ def test_state_changed_meanwhile_is_not_overwritten(built):
 
 
 def test_status_shows_progress_while_running(built):
-    _, _, rebuild = built
-    rebuild.log.append(1, 0, "running", datetime.now(timezone.utc))
-    rebuild.running = {"id": 1, "total": 60, "processed": 15}
-    assert {k: rebuild.status()[k] for k in ("status", "total_known_events", "progress")} == {
-        "status": "running",
-        "total_known_events": 60,
-        "progress": 0.25,
-    }
+    log, table, rebuild = built
+    seen = []
+
+    def watch():
+        until = time.monotonic() + 100
+        while time.monotonic() < until and (not seen or seen[-1] is None or seen[-1] < 1):
+            row = rebuild.status().first()
+            seen.append(row and row.progress)
+
+    watcher = threading.Thread(target=watch, daemon=True)
+    slow = log.repartition(40).withColumn("editor", F.expr("if(java_method('java.lang.Thread', 'sleep', 20L) is null, editor, '')"))
+    watcher.start()
+    rebuild.run(slow)
+    watcher.join(120)
+    assert any(share and 0 < share < 1 for share in seen)
+    assert rebuild.status().first().progress == 1.0
+
+
+def test_late_copies_with_lower_numbers(built, spark, shared):
+    """A later delivery with a lower number and other contents: the stream has taken the earlier one."""
+    _, table, rebuild = built
+    logs = EventLogs(spark, shared + "/late")
+    for batch, (seq, editor) in enumerate([(10, "late"), (3, "early")]):
+        record = raw(spark, [text(user=editor)]).withColumn("ingest_seq", F.lit(seq).cast("bigint"))
+        logs.write_batch(validate.classify(record), "run", batch, F.lit("2026-01-01"))
+    state = PageStateTable(spark, shared + "/late_state", buckets=2)
+    state.upsert(fold.fold_pages(logs.valid().filter("first_arrival")))
+    before = snapshot(state)
+    outcome = Rebuild(RebuildLog(spark, shared + "/late"), state).run(logs.valid())
+    assert (outcome["status"], outcome["discrepancy_count"], outcome["events_replayed"]) == ("succeeded", 0, 2)
+    assert snapshot(state) == before and before[0].last_editor == "late"
 
 
 def test_unknown_status_is_refused(spark, shared):

@@ -46,8 +46,9 @@ def test_published_records_keep_their_number(spark, shared):
 
 
 def test_first_match(spark):
-    log = raw(spark, ["x", "marker y", "z"])
-    assert logs.first_match(log, F.col("value").contains("marker")).first().ingest_seq == 1
+    log = raw(spark, ["x", "marker y", "z", "marker"])
+    latest_first = log.repartition(1).sortWithinPartitions(F.desc("ingest_seq"))
+    assert logs.first_match(latest_first, F.col("value").contains("marker")).first().ingest_seq == 1
     assert logs.first_match(log, F.col("value") == "none").isEmpty()
 
 

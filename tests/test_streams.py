@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from quirefold.operators import dedup, fold, validate
 from quirefold.operators.compare import same_rows
-from quirefold.schemas import LEDGER_KEY, PAGE_STATE
+from quirefold.schemas import FOLD_KEY, LEDGER_KEY, PAGE_STATE
 from quirefold.sinks.event_logs import EventLogs
 from quirefold.sinks.page_state import PageStateTable
 from quirefold.sources import logs
@@ -102,8 +102,7 @@ def test_repeated_batch_changes_nothing(spark, shared):
     assert events.valid().filter("first_arrival").count() == sum("first_arrival=True" in row for row in before[0])
 
 
-def test_batch_spread_over_many_ranges_reads_them_all(spark, shared, monkeypatch):
-    monkeypatch.setattr("quirefold.sinks.event_logs.MAX_NAMED_RANGES", 3)
+def test_batch_spread_over_many_ranges(spark, shared):
     events = EventLogs(spark, shared, revisions_per_range=5)
     for number in range(2):
         events.write_batch(validate.classify(raw(spark, RECORDS)), "run", number, F.lit("2026-01-01"))
@@ -111,6 +110,18 @@ def test_batch_spread_over_many_ranges_reads_them_all(spark, shared, monkeypatch
     assert events.page_events().count() == valid.select(*LEDGER_KEY).distinct().count()
 
 
+def test_redelivered_records_count_once(spark, shared):
+    """Copies with equal numbers, in one batch and in the next."""
+    events = EventLogs(spark, shared)
+    once = raw(spark, RECORDS)
+    for number in range(2):
+        events.write_batch(validate.classify(once.unionAll(once)), "run", number, F.lit("2026-01-01"))
+    valid = validate.valid_events(validate.classify(once))
+    assert events.valid().count() == 4 * valid.count()
+    assert events.page_events().count() == valid.select(*LEDGER_KEY).distinct().count()
+    assert events.valid().filter("first_arrival").count() == valid.select(*FOLD_KEY).distinct().count()
+
+
 def test_empty_batch(spark, shared):
     events = EventLogs(spark, shared)
     events.write_batch(validate.classify(raw(spark, ["x"]).limit(0)), "run", 0, F.lit("2026-01-01"))
