@@ -41,7 +41,12 @@ LEAST_Z = 2.5
 LEAST_SCORE = 1.0
 #: a significant segment: expected less than this often in clean text of the document's length
 SIGNIFICANT = 0.1
-CACHE = 500_000
+#: scores of words that a worker remembers
+CACHE = 60_000
+#: distinct word pairs that a task holds before it hands them on
+FLUSH = 100_000
+#: rows of a batch that are scored and handed on at once
+ROWS = 500
 
 WORD = re.compile(r"[^\W_]+")
 SEGMENT = pa.struct([("start", pa.int32()), ("stop", pa.int32()), ("score", pa.float64()), ("expected", pa.float64())])
@@ -67,18 +72,26 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, most: int) -> DataFrame:
 
 
 def word_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Distinct (class, word, next word) of each batch."""
-    for batch in batches:
-        found = set()
-        for kind, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            words = words_of(text)
-            found.update(zip([kind] * len(words), words, [*words[1:], ""], strict=True))
-        columns = zip(*found, strict=True) if found else ([], [], [])
-        yield pa.RecordBatch.from_arrays(
+    """(class, word, next word) of the texts, most repetitions left out."""
+
+    def flush(found: set[tuple[int, str, str]]) -> pa.RecordBatch:
+        columns = zip(*found, strict=True)
+        return pa.RecordBatch.from_arrays(
             [pa.array(c, k) for c, k in zip(columns, (pa.int32(), pa.string(), pa.string()), strict=True)],
             names=["toxic", "word", "following"],
         )
 
+    found: set[tuple[int, str, str]] = set()
+    for batch in batches:
+        for kind, text in zip(*batch.columns, strict=True):
+            words = words_of(text.as_py())
+            found.update(zip([kind.as_py()] * len(words), words, [*words[1:], ""], strict=True))
+            if len(found) >= FLUSH:
+                yield flush(found)
+                found = set()
+    if found:
+        yield flush(found)
+
 
 class Model:
     """Word scores and their calibration; small enough to be sent to every task, as the sample is bounded."""
@@ -227,10 +240,16 @@ def scored(model, keep_segments: bool):
     return run
 
 
+def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for first in range(0, batch.num_rows, ROWS):
+            yield batch.slice(first, ROWS)
+
+
 def clean_distribution(model, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of clean documents: how often each score occurs, and the segments' scores."""
     own: Model = model.value
-    for batch in batches:
+    for batch in slices(batches):
         values: list[float] = []
         kinds: list[int] = []
         for text in batch.column(0):
@@ -329,7 +348,7 @@ def without_toxic(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own: Model = shared.value
-        for batch in batches:
+        for batch in slices(batches):
             keep = [own.probability(*own.features(words_of(t.as_py()))) < threshold for t in batch.column(at)]
             yield batch.filter(pa.array(keep, pa.bool_()))
 

@@ -13,7 +13,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: bytes of text hashed at once; a longer text is a chunk of its own
-CHUNK = 2 << 20
+CHUNK = (1 << 19) - 1
 BASE = 0x9E3779B97F4A7C15 | 1
 STEP = np.uint64(0xD1342543DE82EF95)
 _U = np.uint64
