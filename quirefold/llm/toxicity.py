@@ -85,7 +85,8 @@ def word_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for kind, text in zip(*batch.columns, strict=True):
             words = words_of(text.as_py())
-            found.update(zip([kind.as_py()] * len(words), words, [*words[1:], ""], strict=True))
+            if words:
+                found.update(zip([kind.as_py()] * len(words), words, [*words[1:], ""], strict=True))
             if len(found) >= FLUSH:
                 yield flush(found)
                 found = set()

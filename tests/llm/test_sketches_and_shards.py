@@ -1,0 +1,84 @@
+"""Threshold-scaled sketches and Hilbert-curve shards against plain Python."""
+
+import hashlib
+import itertools
+import random
+import zlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from quirefold.llm import fingerprints, sharding
+
+LONG = " ".join(f"w{k}" for k in range(20000))
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    draw = random.Random(9)
+    rows = [(k, " ".join(draw.choices(["as", "bee", "sea", "Dé", "ee"], k=draw.randrange(400))), "en", "a") for k in range(60)]
+    rows += [(60, None, None, None), (61, "", "en", "a"), (62, LONG, "en", "b"), (63, LONG, "de", "b"), (64, "one two", "de", None)]
+    return spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string").withColumn("own", F.lit(1))
+
+
+def test_edits_and_fingerprints(docs):
+    rows = {r.doc_id: r for r in fingerprints.fingerprint_edits(docs).collect()}
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    order = sorted(texts, reverse=True)
+    assert rows.keys() == texts.keys()
+    for doc, after in zip(order, order[1:] + order[:1], strict=True):
+        third = len(texts[doc]) // 3
+        edited = texts[doc][: len(texts[doc]) - third] + texts[after][:third]
+        assert rows[doc].n_chars == len(texts[doc])
+        assert rows[doc].edited_sha256 == hashlib.sha256(edited.encode()).hexdigest()
+        assert 0 <= rows[doc].near_edited <= 1 and 0 <= rows[doc].near_next <= 1
+    assert rows[62].fingerprint == rows[63].fingerprint and rows[60].fingerprint == rows[61].fingerprint
+    assert rows[63].near_next == 1.0 and rows[61].near_next == 1.0
+
+
+def test_estimates_are_near_the_truth_for_unequal_documents(spark):
+    words = LONG.split()
+    part = " ".join(words[:4000])
+    row = (
+        spark.createDataFrame([(LONG, part)], "a string, b string")
+        .select(fingerprints.sketch(F.col("a")).alias("a"), fingerprints.sketch(F.col("b")).alias("b"))
+        .select(
+            fingerprints.containment(F.col("b"), F.col("a")).alias("inside"),
+            fingerprints.resemblance(F.col("a"), F.col("b")).alias("alike"),
+            fingerprints.as_text(fingerprints.merged(F.col("a"), F.col("b"))).alias("union"),
+            fingerprints.as_text(F.col("a")).alias("whole"),
+        )
+        .first()
+    )
+    assert row.inside == 1.0 and abs(row.alike - 0.2) < 0.03
+    assert row.union.split(":")[1] == row.whole.split(":")[1]  # a union's sketch, from the sketches
+
+
+def test_empty_and_single_tables(docs):
+    assert fingerprints.fingerprint_edits(docs.limit(0)).count() == 0
+    assert sharding.shard_documents(docs.limit(0)).count() == 0
+    only = fingerprints.fingerprint_edits(docs.filter("doc_id = 64")).first()
+    assert only.edited_sha256 == hashlib.sha256(b"one ton").hexdigest()
+
+
+def test_the_curve_is_a_hilbert_curve(spark):
+    side = 8
+    cells = spark.createDataFrame(list(itertools.product(range(side), repeat=3)), "x int, y int, z int")
+    rows = cells.withColumn("at", sharding.hilbert_index([F.col(c) for c in "xyz"], 3)).orderBy("at").collect()
+    assert [r["at"] for r in rows] == list(range(side**3))
+    for a, b in itertools.pairwise(rows):
+        assert sum(abs(a[c] - b[c]) for c in "xyz") == 1  # each step goes to a neighbouring cell
+
+
+def test_shards_hold_every_row_and_counts_differ_by_one(docs):
+    repeated = docs.unionAll(docs.filter("doc_id < 5"))
+    rows = sharding.shard_documents(repeated).collect()
+    texts = {r.doc_id: (r.text or "").encode() for r in docs.collect()}
+    assert sorted(r.doc_id for r in rows) == sorted(r.doc_id for r in repeated.collect())
+    by_shard = {s: sorted(r.slot for r in rows if r.shard == s) for s in range(16)}
+    assert all(slots == list(range(len(slots))) for slots in by_shard.values())
+    counts = [len(slots) for slots in by_shard.values()]
+    assert max(counts) - min(counts) <= 1
+    assert all((r["size"], r.text_crc32) == (len(texts[r.doc_id]) + 1, zlib.crc32(texts[r.doc_id])) for r in rows)
+    ordered = [r.curve_index for r in sorted(rows, key=lambda r: (r.shard, r.slot))]
+    assert ordered == sorted(ordered)
