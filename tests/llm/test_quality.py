@@ -1,0 +1,137 @@
+"""Naive Bayes support vectors: features by definition, the dual's optimum, held-out documents, odd rows."""
+
+import random
+import re
+import zlib
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from quirefold.llm import quality
+
+ROWS = 300
+TOKEN = re.compile(r"[0-9A-Za-z\x80-\U0010ffff]+|[!-/:-@\[-`{-~]+")
+
+
+def tokens(text):
+    return TOKEN.findall(text)
+
+
+def test_tokens_and_pairs_are_those_of_the_definition():
+    draw = random.Random(1)
+    texts = ["".join(draw.choices("abÄ1 .!|\n\t\x00", k=draw.randrange(60))) for _ in range(300)] + ["", "a", "..", "a b a b"]
+    hashes = {}
+    for text in texts:
+        found, first = quality.token_hashes(np.frombuffer(text.encode(), np.uint8))
+        words = tokens(text)
+        assert len(found) == len(words) and [text.encode()[a:][: len(w.encode())].decode() for a, w in zip(first, words)] == words
+        for h, w in zip(found.tolist(), words):
+            assert hashes.setdefault(w, h) == h
+    assert len(set(hashes.values())) == len(hashes)
+
+
+def joined(texts, bits=20):
+    found = [set() for _ in texts]
+    for row, owner, features in quality.features(pa.array(texts), bits):
+        for k, f in zip(owner.tolist(), features.tolist()):
+            assert f not in found[row + k]
+            found[row + k].add(f)
+    return found
+
+
+def test_features_of_a_batch_are_those_of_each_text(monkeypatch):
+    draw = random.Random(2)
+    texts = [" ".join("".join(draw.choices("abc!", k=3)) for _ in range(draw.randrange(40))) for _ in range(200)]
+    texts += [None, "", "one", "x " * 3000]
+    alone = [set(quality.text_features(np.frombuffer((t or "").encode(), np.uint8), 20).tolist()) for t in texts]
+    assert joined(texts) == alone
+    # a long text in pieces that end at spaces
+    monkeypatch.setattr(quality, "PIECE", 64)
+    assert joined(texts) == alone
+
+
+def test_descent_reaches_the_optimum():
+    draw = np.random.default_rng(3)
+    lists = [np.sort(draw.choice(30, size=8, replace=False)) for _ in range(60)]
+    ratio = draw.normal(size=30)
+    rows = quality.Rows(lists, ratio)
+    sign = np.where([ratio[f].sum() > 0 for f in lists], 1.0, -1.0)
+    cost = np.full(60, 0.5)
+    quality.ROUNDS, kept = 2000, quality.ROUNDS
+    try:
+        weight, constant = quality.descend(rows, sign, cost, 30)
+    finally:
+        quality.ROUNDS = kept
+
+    def loss(w, c):
+        own = 0.5 * (w @ w) + 0.5 * (c / quality.CONSTANT) ** 2
+        return own + (cost * np.maximum(0, 1 - sign * rows.margins(w, c))).sum()
+
+    best = loss(weight, constant)
+    for _ in range(300):
+        assert loss(weight + draw.normal(size=30) * 0.02, constant + draw.normal() * 0.002) >= best - 1e-3
+
+
+@pytest.fixture(scope="module")
+def tables(spark):
+    draw = random.Random(5)
+    plain = ["".join(draw.choices("abcdefgh", k=draw.randrange(3, 7))) for _ in range(300)]
+    docs, labels = [], []
+    for k in range(ROWS):
+        words = draw.choices(plain, k=draw.randrange(30, 90))
+        good = int(k % 4 != 0)
+        if not good:
+            words = [w + draw.choice(["!!", "$$$", " |"]) if draw.random() < 0.3 else w for w in words]
+        docs.append((k, " ".join(words), "src", 1.0))
+        labels.append((k, good))
+    odd = [(1000, None, None, None), (1001, "", "x", 0.0), (None, "krunge $$$ " * 40, "x", 0.0), (0, docs[0][1], "src", 1.0)]
+    odd += [(1002, "abc def $$$ ghi!! | " * 40_000, "x", 0.0), (1003, "q" * 700_000, "x", 0.0)]
+    frame = spark.createDataFrame(docs + odd, "doc_id bigint, text string, score string, _score double")
+    known = spark.createDataFrame([*labels, (1001, 1), (1001, None), (None, 1)], "doc_id bigint, quality int")
+    return frame, known, dict(labels)
+
+
+@pytest.fixture(scope="module")
+def model(tables):
+    return quality.fit(tables[0], tables[1])
+
+
+def test_held_out_documents_are_told_apart(tables, model):
+    docs, _, good = tables
+    rows = quality.score_documents(docs, model).collect()
+    assert len(rows) == docs.count() and all(0 <= r.score <= 1 for r in rows)
+    judged = [(r.score >= 0.5) == (good[r.doc_id] == 1) for r in rows if r.doc_id in good and zlib.crc32(str(r.doc_id).encode()) % 3 == 1]
+    assert len(judged) > ROWS // 5 and sum(judged) >= 0.97 * len(judged)
+    by_id = {r.doc_id: r.score for r in rows}
+    assert by_id[1000] == by_id[1001] and by_id[1002] < 0.5 and by_id[None] < 0.5
+    assert len({r.score for r in rows if r.doc_id == 0}) == 1
+
+
+def test_a_score_does_not_depend_on_the_batch(tables, model):
+    texts = [r.text for r in tables[0].limit(50).collect()]
+    together = model.scores(pa.array(texts))
+    assert np.allclose(together, [model.scores(pa.array([t]))[0] for t in texts])
+
+
+def test_rejected_rows_go_and_others_keep_their_columns(tables, model):
+    docs = tables[0]
+    kept = quality.of_quality(docs, model)
+    assert kept.columns == docs.columns
+    good = sorted(str(r.doc_id) for r in quality.score_documents(docs, model).collect() if r.score >= 0.5)
+    assert sorted(str(r.doc_id) for r in kept.collect()) == good
+
+
+def test_the_sample_is_bounded_and_leaves_out_held_out_rows(tables):
+    sample, sizes = quality.labelled_sample(tables[0], tables[1], 10)
+    assert sample.groupBy("good").count().filter("count > 11").count() == 0
+    open_rows = [q for k, q in tables[2].items() if zlib.crc32(str(k).encode()) % 3 != 1]
+    assert sizes[0] == open_rows.count(0) and sizes[1] in (open_rows.count(1), open_rows.count(1) + 1)
+
+
+def test_without_labels_or_rows(spark, tables):
+    docs, labels, _ = tables
+    unfitted = quality.fit(docs, labels.limit(0))
+    assert unfitted is None and {r.score for r in quality.score_documents(docs, unfitted).collect()} == {0.5}
+    assert quality.score_documents(docs.limit(0), unfitted).count() == 0
+    assert quality.of_quality(docs, unfitted).count() == docs.count()
