@@ -6,6 +6,9 @@ from .decontaminate import OP8_SQL, op8_prefix_filtered_windows
 from .fingerprints import op6_threshold_sketch
 from .htmlextract import op10_crf_extraction
 from .packing import op5_tiered_packing
+from .prefixtrie import OP11_SQL, op11_truncation_peeling
+from .quality import op13_naive_bayes_svm
+from .runs import op12_dyadic_runs
 from .setjoin import op2_set_relation_join
 from .sharding import op9_hilbert_sharding
 from .tokenfiles import op3_elias_fano_ids
@@ -26,10 +29,14 @@ QUERIES = {
         op8_prefix_filtered_windows,
         op9_hilbert_sharding,
         op10_crf_extraction,
+        op11_truncation_peeling,
+        op12_dyadic_runs,
+        op13_naive_bayes_svm,
     )
 }
 
 SQL = {
     "op1_redirect_equivalence": OP1_SQL,
     "op8_prefix_filtered_windows": OP8_SQL,
+    "op11_truncation_peeling": OP11_SQL,
 }
