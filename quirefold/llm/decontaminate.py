@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .tables import stored, table
+from .tables import give_back, stored, table
 from .wordhash import by_letter, chunks, run_hash
 
 ITEM_WINDOW = 10
@@ -133,6 +133,7 @@ def find_places(shared, bits: int, sizes: list[int], window: int):
                 [batch.column(0), batch.column(1), pa.array(counts), pa.array(places, pa.list_(kind))],
                 names=["doc_id", "row", "n_words", "places"],
             )
+        give_back()
 
     return run
 
@@ -215,7 +216,7 @@ def without_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows of ``docs`` in which no window of an item occurs, with all their columns."""
     found = contamination(docs, items)
     bad = stored(found.filter("contaminated").select("row").distinct(), "contaminated")
-    return docs.withColumn("_row", row_key()).join(bad.withColumnRenamed("row", "_row"), "_row", "left_anti").drop("_row")
+    return docs.join(bad, row_key() == bad["row"], "left_anti")
 
 
 def op8_prefix_filtered_windows(spark, sf_dir: str) -> DataFrame:

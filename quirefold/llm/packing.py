@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from .tables import table
+from .tables import give_back, table
 from .tokens import byte_bpe, encoder
 
 TIERS = (2048, 1024, 512, 256)
@@ -171,6 +171,7 @@ def packer(path: str, tiers: tuple[int, ...], end_id: int, with_ids: bool):
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, k) for c, k in zip(columns[:keep], kinds[:keep], strict=True)], names=names[:keep]
             )
+        give_back()
 
     return run
 
@@ -192,4 +193,6 @@ def pack(
 
 
 def op5_tiered_packing(spark, sf_dir: str) -> DataFrame:
+    """All documents in sequences of at most 2048 ids; a null text is its end id alone, repeated rows
+    are packed each. A special token's spelling in a text is that token, as the tokenizer takes it."""
     return pack(table(spark, sf_dir, "documents"), byte_bpe(), with_ids=False)

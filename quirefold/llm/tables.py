@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import new_run_dir
@@ -34,3 +36,11 @@ def stored(frame: DataFrame, label: str) -> DataFrame:
 def tasks(spark: SparkSession) -> int:
     """Partitions that the session gives a shuffle."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def give_back() -> None:
+    """Return a task's freed memory to the system; Spark keeps the worker process for later tasks."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)

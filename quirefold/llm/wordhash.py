@@ -1,12 +1,14 @@
 """Word and shingle hashes of whole batches of texts, with array operations.
 
 A word is a maximal run of bytes that belong to words, A-Z taken as a-z. Its hash is a polynomial in
-its bytes modulo 2^64, taken from running sums over the batch, and mixed.
+its bytes modulo 2^64, taken from running sums over some of them at a time, and mixed.
+A text of any length is taken whole; beside its bytes, that takes about as much again for each of a dozen
+arrays.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -17,7 +19,8 @@ CHUNK = (1 << 19) - 1
 BASE = 0x9E3779B97F4A7C15 | 1
 STEP = np.uint64(0xD1342543DE82EF95)
 _U = np.uint64
-_powers = np.ones(1, "<u8"), np.ones(1, "<u8")
+#: bytes whose running sums are taken at once
+PIECE = 1 << 17
 
 
 def by_space() -> np.ndarray:
@@ -45,17 +48,38 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """BASE^i and BASE^-i modulo 2^64 for i < n."""
-    global _powers
-    if len(_powers[0]) < n:
-        size = 1 << (n - 1).bit_length()
-        inverse = pow(BASE, -1, 1 << 64)
-        _powers = tuple(
-            np.cumprod(np.concatenate([np.ones(1, "<u8"), np.full(size - 1, b, "<u8")]), dtype="<u8")
-            for b in (BASE, inverse)
-        )
-    return _powers[0][:n], _powers[1][:n]
+#: BASE^i and BASE^-i modulo 2^64 for a piece
+UP, DOWN = (
+    np.cumprod(np.concatenate([np.ones(1, "<u8"), np.full(PIECE, base, "<u8")]), dtype="<u8")
+    for base in (BASE, pow(BASE, -1, 1 << 64))
+)
+
+
+def piece_hashes(data: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    """Polynomials of the words from start to stop in at most PIECE bytes."""
+    sums = np.zeros(len(data) + 1, "<u8")
+    np.cumsum((data.astype("<u8") + _U(1)) * UP[: len(data)], out=sums[1:])
+    return (sums[stop] - sums[start]) * DOWN[start]
+
+
+def word_hashes(data: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    """The same of any number of bytes."""
+    found = np.empty(len(start), "<u8")
+    k = 0
+    while k < len(start):
+        first = int(start[k])
+        last = int(np.searchsorted(stop, first + PIECE, side="right"))
+        if last > k:
+            found[k:last] = piece_hashes(data[first : stop[last - 1]], start[k:last] - first, stop[k:last] - first)
+        else:  # one word beyond a piece
+            last, total = k + 1, 0
+            for at in range(first, int(stop[k]), PIECE):
+                part = data[at : min(at + PIECE, int(stop[k]))]
+                own = piece_hashes(part, np.zeros(1, "<i8"), np.array([len(part)]))
+                total += int(own[0]) * pow(BASE, at - first, 1 << 64)
+            found[k] = total % (1 << 64)
+        k = last
+    return found
 
 
 class Words:
@@ -71,10 +95,8 @@ class Words:
         before, here = inside[:-1], inside[1:]
         self.start = np.flatnonzero((here & (~before | edge))[: len(data)])
         self.stop = np.flatnonzero(before & (~here | edge))
-        up, down = powers(len(data) + 1)
-        sums = np.zeros(len(data) + 1, "<u8")
-        np.cumsum((self.data.astype("<u8") + _U(1)) * up[: len(data)], out=sums[1:])
-        self.hash = mix((sums[self.stop] - sums[self.start]) * down[self.start] + (self.stop - self.start).astype("<u8"))
+        found = word_hashes(self.data, self.start, self.stop)
+        self.hash = mix(found + (self.stop - self.start).astype("<u8"))
         self.first = np.searchsorted(self.start, offsets).astype("<i8")
         self.doc = np.repeat(np.arange(len(offsets) - 1), np.diff(self.first))
 
@@ -87,17 +109,22 @@ class Words:
         if n <= 0:
             return np.zeros(0, "<u8"), np.zeros(0, "<i8")
         at = np.flatnonzero(self.doc[:n] == self.doc[words - 1 :])
-        return run_hash([self.hash[at + k] for k in range(words)]), at
+        return sequence_hash((self.hash[at + k] for k in range(words)), words, len(at)), at
 
 
-def run_hash(words: list[np.ndarray]) -> np.ndarray:
-    """Hash of word sequences, from the hashes of their first, second, ... words."""
-    total = np.full(len(words[0]), len(words), "<u8")
+def sequence_hash(words: Iterable[np.ndarray], length: int, n: int) -> np.ndarray:
+    """Hash of n word sequences, from the hashes of their first, second, ... words."""
+    total = np.full(n, length, "<u8")
     for w in words:
-        total = total * STEP + w
+        total *= STEP
+        total += w
     return mix(total)
 
 
+def run_hash(words: list[np.ndarray]) -> np.ndarray:
+    return sequence_hash(words, len(words), len(words[0]))
+
+
 def chunks(texts: pa.Array, keep: np.ndarray) -> Iterator[tuple[int, Words]]:
     """(row of the first text, words) of the column's texts, some at a time. Null: no words."""
     if isinstance(texts, pa.ChunkedArray):

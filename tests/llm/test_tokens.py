@@ -11,13 +11,12 @@ from tokenizers import Tokenizer
 from quirefold.llm import eliasfano, packing, tokenfiles
 from quirefold.llm.tokens import byte_bpe, encoder
 
-EDGE = ["", " ", "a", "  two  spaces", "line\n break \n x", "<|endoftext|> is text", "é ß 中文 😀", "don't we'll", "word " * 5000]
+EDGE = ["", " ", "a", "  two  spaces", "line\n break \n x", "<|endoftext|> is a token", "hi <|endoftext|> there", "x<|endoftext|>,y <|endoftext|>", "é ß 中文 😀", "don't we'll", "word " * 5000]
 
 
 @pytest.fixture(scope="module")
 def plain():
     tokenizer = Tokenizer.from_file(byte_bpe())
-    tokenizer.encode_special_tokens = True
     return lambda text: tokenizer.encode(text or "", add_special_tokens=False).ids
 
 
