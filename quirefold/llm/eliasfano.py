@@ -29,6 +29,8 @@ class EliasFano:
             raise ValueError("the values must not decrease")
         bits = max(0, (universe // n).bit_length() - 1) if n else 0
         places = (v >> np.uint64(bits)).astype("<i8") + np.arange(n)
+        if n and places[-1] >> 32:
+            raise ValueError("too many values for 32-bit positions")
         upper = np.zeros(int(places[-1]) + 1 if n else 0, np.uint8)
         upper[places] = 1
         digits = ((v[:, None] >> np.arange(bits, dtype="<u8")) & np.uint64(1)).astype(np.uint8)

@@ -38,6 +38,8 @@ MAGIC = b"QFTOKID1"
 MANIFEST = "file string, place bigint, n_docs bigint, n_ids bigint"
 INDEX = "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint"
 READ_DOCS = 2048
+#: bytes of text of a file, about
+FILE_BYTES = 32 << 20
 
 
 def footer(ids: int, ends: int, keys: int, docs: int, nulls: int, least: int, width: int) -> bytes:
@@ -54,6 +56,8 @@ def file_writer(folder: str, path: str, end_id: int, width: int):
             for batch in batches:
                 for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                     ids = np.frombuffer(encode.ids(text.as_py()) + end, "<u4")
+                    if ids.max() >> (8 * width):
+                        raise ValueError(f"an id does not fit into {width} bytes")
                     out.write(ids.astype(f"<u{width}").tobytes())
                     lengths.append(len(ids))
                     if doc is None:
@@ -135,7 +139,9 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int
     width: bytes per id; 2 for vocabularies up to 65,536.
     """
     key = [F.col("doc_id"), F.crc32(F.coalesce("text", F.lit("")).cast("binary"))]
-    dealt = docs.select("doc_id", "text").repartitionByRange(tasks(docs.sparkSession), *key).sortWithinPartitions(*key)
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    files = max(tasks(docs.sparkSession), -(-size // FILE_BYTES))
+    dealt = docs.select("doc_id", "text").repartitionByRange(files, *key).sortWithinPartitions(*key)
     manifest = stored(dealt.mapInArrow(file_writer(folder, tokenizer, end_id, width), MANIFEST), "token-manifest")
     earlier = Window.orderBy("place").rowsBetween(Window.unboundedPreceding, -1)  # a row per file
     return manifest.withColumn("before", F.coalesce(F.sum("n_ids").over(earlier), F.lit(0)))
@@ -143,10 +149,13 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int
 
 def read_token_files(manifest: DataFrame) -> DataFrame:
     """A row per document, from the files."""
-    files = manifest.select("file", "before").repartition(tasks(manifest.sparkSession), "file")
+    files = manifest.select("file", "before")
+    files = files.repartition(max(tasks(manifest.sparkSession), files.count()), "file")
     return files.mapInArrow(read_index, INDEX)
 
 
 def op3_elias_fano_ids(spark, sf_dir: str) -> DataFrame:
+    """The index of all documents, read from the files; a null text is its end id alone, repeated rows follow
+    each other, rows without doc_id come first. A special token's spelling in a text is that token."""
     folder = new_run_dir(spark, "token-files")
     return read_token_files(write_token_files(table(spark, sf_dir, "documents"), folder, byte_bpe()))
