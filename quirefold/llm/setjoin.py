@@ -3,20 +3,23 @@
 A document's set holds the hashes of its distinct five-word shingles (fewer words: the whole
 sequence). Two sets are linked at a Jaccard similarity of at least PERCENT / 100.
 
-1. Equal sets are one class; everything below is about classes.
+1. Equal sets are one class; everything below is about classes. A set is named by 128 bits.
 2. Every shingle's set frequency is counted. Shingles of one set link nothing; the others of a set, rarest
    first, give its prefix: two linked sets have a shingle in common that lies in both prefixes.
-3. The prefix entries form inverted lists, one per shingle, and a list falls into blocks by set size
-   and by position. A block knows its smallest set and the largest set that a partner of its entries
-   can have (from size and position); two blocks that rule each other out are skipped as a whole.
-4. What blocks leave together forms buckets: sets outside each other's bucket cannot be linked. A
-   bucket is cut into blocks of bounded size, and blocks meet if their sizes allow it.
-5. In a pair of blocks a set's overlaps with all sets of the other block are computed at once: from
-   those of the set before it, by what the two differ in, where that is less than the set itself.
+3. A set's home is the most frequent shingle of its prefix. The sets of a home form blocks of bounded size, by
+   their sizes; so near copies share blocks, and each set lies in one.
+4. The prefix entries form inverted lists, one per shingle. A list falls into parts by set size, position and the
+   sets' block. A part knows its smallest set and the largest set that a partner of its entries can have (from
+   size and position); two parts that rule each other out are skipped as a whole.
+5. Blocks with parts that some list did not skip meet, each pair of blocks once; two sets that are linked
+   meet exactly there. In a pair of blocks a set's overlaps with all sets of the other block are computed at
+   once: from those of the set before it, by what the two differ in, where that is less than the set
+   itself. Sets are taken in the order of their smallest hashes, which similar sets have in common.
 
 Shingles travel in packed arrays, a row per task and shuffle partition, as rows of their own would cost
 several times the text. No step emits all pairs of a group: a block pair returns a spanning forest
-of its links and a number of links per set.
+of its links and a number of links per set. A set is sent to as many pairs of blocks as its prefix's
+lists leave, not to all that they connect.
 """
 
 from __future__ import annotations
@@ -26,20 +29,22 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .tables import stored, table, tasks
+from .tables import give_back, stored, table
 from .wordhash import by_space, chunks, run_hash
 
 WORDS = 5
 PERCENT = 80
 #: shingles that a task holds before it hands them on
 FLUSH = 2_000_000
+#: shingles of the classes that are counted in one part
+PART_SHINGLES = 2_000_000
 BLOCK_SETS = 256
 BLOCK_SHINGLES = 60_000
-#: width of a size band of an index block and of a bucket's block
+#: width of a size band of a list's part and of a home's block
 BAND = 1.25
 
 
@@ -56,23 +61,36 @@ def sets(texts: pa.Array, words: int) -> Iterator[tuple[int, np.ndarray]]:
                 yield row + doc, run_hash([found.hash[k : k + 1] for k in range(first, last)])
 
 
-def set_key(shingles: np.ndarray) -> int:
-    """Equal for equal sets. With the set's size, it stands for the set."""
-    return int.from_bytes(hashlib.blake2b(shingles.tobytes(), digest_size=8).digest(), "little", signed=True)
+def set_key(shingles: np.ndarray) -> bytes:
+    """The name of a set: equal for equal sets."""
+    return hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
 
 
 def describe(words: int):
+    """Each row's other columns with the size and the name of its last one's set."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n = np.zeros(batch.num_rows, "<i8")
-            key = np.zeros(batch.num_rows, "<i8")
-            for row, shingles in sets(batch.column(1), words):
+            key: list[bytes | None] = [None] * batch.num_rows
+            for row, shingles in sets(batch.column(batch.num_columns - 1), words):
                 n[row], key[row] = len(shingles), set_key(shingles)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n), pa.array(key)], names=["doc_id", "n", "key"])
+            columns = [*batch.columns[:-1], pa.array(n), pa.array(key, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names[:-1], "n", "key"])
+        give_back()
 
     return run
 
 
+def names(keys: list[bytes]) -> np.ndarray:
+    """The names as two 64-bit numbers each."""
+    return np.frombuffer(b"".join(keys), "<i8").reshape(-1, 2)
+
+
+def part_of(numbers: np.ndarray, parts: int) -> np.ndarray:
+    return ((numbers.view("<u8") >> np.uint64(20)) % np.uint64(parts)).astype("<i4")
+
+
 PACKED = "part int, keys binary, sizes binary, counts binary, shingles binary"
 
 
@@ -101,32 +119,33 @@ def _rows(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
 
 def deal_shingles(words: int, parts: int):
     """Each task's shingles, packed for the part of the shingle."""
-    names = ["part", "keys", "sizes", "counts", "shingles"]
+    columns = ["part", "keys", "sizes", "counts", "shingles"]
 
-    def flush(held: list[np.ndarray], keys: list[int]) -> Iterator[pa.RecordBatch]:
+    def flush(held: list[np.ndarray], keys: list[bytes]) -> Iterator[pa.RecordBatch]:
         sizes = np.array([len(s) for s in held], "<i4")
         shingles = np.concatenate(held)
         owner = np.repeat(np.arange(len(held)), sizes)
-        part = ((shingles >> np.uint64(20)) % np.uint64(parts)).astype("<i4")
-        for row in packed(part, owner, [shingles], np.array(keys, "<i8"), sizes, parts):
-            yield _rows([row], names)
+        for row in packed(part_of(shingles, parts), owner, [shingles], names(keys), sizes, parts):
+            yield _rows([row], columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, keys, seen, waiting = [], [], set(), 0
         for batch in batches:
             for _, shingles in sets(batch.column(0), words):
-                key = set_key(shingles), len(shingles)
+                key = set_key(shingles)
                 if key in seen:
                     continue
                 seen.add(key)
                 held.append(shingles)
-                keys.append(key[0])
+                keys.append(key)
                 waiting += len(shingles)
                 if waiting >= FLUSH:
                     yield from flush(held, keys)
                     held, keys, seen, waiting = [], [], set(), 0
         if held:
             yield from flush(held, keys)
+        del held, keys, seen
+        give_back()
 
     return run
 
@@ -135,45 +154,51 @@ def _unpacked(rows: pa.Table, values: list[tuple[str, str]]) -> tuple[np.ndarray
     """(key, size) of every entry and the entries' values."""
     joined = {c: b"".join(rows.column(c).to_pylist()) for c in rows.column_names if c != "part"}
     counts = np.frombuffer(joined["counts"], "<i4")
-    key = np.repeat(np.frombuffer(joined["keys"], "<i8"), counts)
+    key = np.repeat(np.frombuffer(joined["keys"], "<i8").reshape(-1, 2), counts, axis=0)
     size = np.repeat(np.frombuffer(joined["sizes"], "<i4"), counts)
     return key, size, [np.frombuffer(joined[name], kind) for name, kind in values]
 
 
+def other(key: np.ndarray) -> np.ndarray:
+    """Whether each name but the first differs from the one before it."""
+    return (np.diff(key, axis=0) != 0).any(axis=1)
+
+
 SHARED = PACKED + ", frequency binary"
 
 
 def count_frequencies(parts: int):
     """Of one part's shingles: the entries of those in two sets or more, with the number of sets,
     packed for the part of the set."""
-    names = ["part", "keys", "sizes", "counts", "shingles", "frequency"]
+    columns = ["part", "keys", "sizes", "counts", "shingles", "frequency"]
 
     def run(rows: pa.Table) -> pa.Table:
         key, size, (shingles,) = _unpacked(rows, [("shingles", "<u8")])
-        order = np.lexsort((key, shingles))
+        order = np.lexsort((key[:, 1], key[:, 0], shingles))
         key, size, shingles = key[order], size[order], shingles[order]
         fresh = np.ones(len(key), bool)  # a set may have come from several tasks
-        fresh[1:] = (np.diff(key) != 0) | (np.diff(shingles.view("<i8")) != 0) | (np.diff(size) != 0)
+        fresh[1:] = other(key) | (np.diff(shingles.view("<i8")) != 0)
         key, size, shingles = key[fresh], size[fresh], shingles[fresh]
         starts = np.flatnonzero(np.diff(shingles.view("<i8"), prepend=~shingles[:1].view("<i8")))
         frequency = np.repeat(np.diff(np.append(starts, len(key))), np.diff(np.append(starts, len(key)))).astype("<i8")
         shared = frequency > 1
         key, size, shingles, frequency = key[shared], size[shared], shingles[shared], frequency[shared]
         if not len(key):
-            return pa.table({n: pa.array([], pa.int32() if n == "part" else pa.binary()) for n in names})
-        order = np.lexsort((size, key))
+            return pa.table({n: pa.array([], pa.int32() if n == "part" else pa.binary()) for n in columns})
+        order = np.lexsort((key[:, 1], key[:, 0]))
         key, size, shingles, frequency = key[order], size[order], shingles[order], frequency[order]
-        new = np.ones(len(key), bool)
-        new[1:] = (np.diff(key) != 0) | (np.diff(size) != 0)
+        new = np.append(True, other(key))
         owner = np.cumsum(new) - 1
-        part = ((key.view("<u8") >> np.uint64(20)) % np.uint64(parts)).astype("<i4")
-        found = packed(part, owner, [shingles, frequency], key[new], size[new], parts)
-        return pa.Table.from_batches([_rows(list(found), names)])
+        found = packed(part_of(np.ascontiguousarray(key[:, 0]), parts), owner, [shingles, frequency], key[new], size[new], parts)
+        made = pa.Table.from_batches([_rows(list(found), columns)])
+        del key, size, shingles, frequency, order, new, owner, found
+        give_back()
+        return made
 
     return run
 
 
-LIVE = "key bigint, n int, shared binary, prefix array<bigint>, place int"
+LIVE = "key binary, n int, shared binary, prefix array<bigint>, place int, home bigint"
 
 
 def prefix_length(n, percent: int = PERCENT):
@@ -182,113 +207,85 @@ def prefix_length(n, percent: int = PERCENT):
 
 
 def find_prefixes(percent: int):
-    """Sets whose prefix has shared shingles: all shared shingles, the prefix, its first place."""
+    """Sets whose prefix has shared shingles: all shared shingles, the prefix, its first place, the home."""
 
     def run(rows: pa.Table) -> pa.Table:
         key, size, (shingles, frequency) = _unpacked(rows, [("shingles", "<u8"), ("frequency", "<i8")])
-        order = np.lexsort((shingles, frequency, size, key))
+        order = np.lexsort((shingles, frequency, key[:, 1], key[:, 0]))
         key, size, shingles = key[order], size[order], shingles[order]
-        new = np.ones(len(key), bool)
-        new[1:] = (np.diff(key) != 0) | (np.diff(size) != 0)
-        starts = np.flatnonzero(new)
+        starts = np.flatnonzero(np.append(np.ones(min(len(key), 1), bool), other(key)))
         stops = np.append(starts[1:], len(key))
-        out: list[list] = [[], [], [], [], []]
+        out: list[list] = [[], [], [], [], [], []]
         for first, stop in zip(starts.tolist(), stops.tolist(), strict=True):
             n = int(size[first])
             alone = n - (stop - first)  # shingles of this set only come first in the order
             most = prefix_length(n, percent) - alone
             if most > 0:
-                row = key[first], n, np.sort(shingles[first:stop]).tobytes(), shingles[first : min(stop, first + most)].view("<i8"), alone
+                prefix = shingles[first : min(stop, first + most)].view("<i8")
+                row = key[first].tobytes(), n, np.sort(shingles[first:stop]).tobytes(), prefix, alone, prefix[-1]
                 for column, value in zip(out, row, strict=True):
                     column.append(value)
-        kinds = pa.int64(), pa.int32(), pa.binary(), pa.list_(pa.int64()), pa.int32()
-        return pa.table([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], names=["key", "n", "shared", "prefix", "place"])
+        kinds = pa.binary(), pa.int32(), pa.binary(), pa.list_(pa.int64()), pa.int32(), pa.int64()
+        columns = ["key", "n", "shared", "prefix", "place", "home"]
+        return pa.table([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], names=columns)
 
     return run
 
 
-def index_edges(live: DataFrame, percent: int) -> DataFrame:
-    """Edges ``a, b`` between sets that share a bucket, from the blocks of the inverted lists."""
-    entries = live.select("key", "n", "place", F.posexplode("prefix").alias("at", "shingle"))
-    n, place = F.col("n").cast("double"), F.col("place") + F.col("at")
-    # an overlap of at most n - place is enough for partners of up to this size
-    reach = F.floor((n - place) * ((100 + percent) / percent) - n + 1e-6)
-    banded = entries.select(
-        "shingle",
-        "key",
-        "n",
-        reach.alias("reach"),
-        F.floor(F.log(n) / F.log(F.lit(BAND)) + 1e-9).alias("band"),
-        F.floor(place * 10 / n).alias("where"),
-    )
-    blocks = banded.groupBy("shingle", "band", "where").agg(
-        F.min("key").alias("head"), F.min("n").alias("least"), F.max("reach").alias("reach"), F.count("*").alias("held")
-    )
-    blocks = stored(blocks, "index-blocks")
-    inside = blocks.filter("held > 1 and least <= reach").select("shingle", "band", "where", "head")
-    members = banded.join(inside, ["shingle", "band", "where"]).select(F.col("key").alias("a"), F.col("head").alias("b"))
-    other = blocks.select("shingle", *(F.col(c).alias(f"o_{c}") for c in ("band", "where", "head", "least", "reach")))
-    near = blocks.withColumn("o_band", F.explode(F.array(F.col("band"), F.col("band") + 1)))
-    ahead = near.join(other, ["shingle", "o_band"]).filter(
-        "(o_band > band or o_where > where) and least <= o_reach and o_least <= reach"
-    )
-    # a block that meets another is joined up itself too
-    met = ahead.select("shingle", "band", "where").unionAll(
-        ahead.select("shingle", F.col("o_band").alias("band"), F.col("o_where").alias("where"))
-    )
-    met = met.distinct().join(blocks.filter("held > 1 and least > reach"), ["shingle", "band", "where"])
-    late = banded.join(met.select("shingle", "band", "where", "head"), ["shingle", "band", "where"])
-    return (
-        members.unionAll(late.select(F.col("key").alias("a"), F.col("head").alias("b")))
-        .unionAll(ahead.select(F.col("head").alias("a"), F.col("o_head").alias("b")))
-        .filter("a <> b")
-        .distinct()
-    )
+def size_band(n: Column) -> Column:
+    return F.floor(F.log(n.cast("double")) / F.log(F.lit(BAND)) + 1e-9)
+
 
+def in_blocks(live: DataFrame) -> DataFrame:
+    """``live`` with the ``block`` of each set.
 
-def block_pairs(live: DataFrame, percent: int) -> DataFrame:
-    """Sets with ``pair`` and ``side``: each block once for every block pair it belongs to."""
-    sized = live.withColumn("band", F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(BAND)) + 1e-9))
+    A home with more than a block holds is cut by size bands, and these by a hash. The block's number is a
+    hash of home, band and slice: blocks that agree in it by chance are one.
+    """
+    banded = live.withColumn("band", size_band(F.col("n")))
     loads = stored(
-        sized.groupBy("bucket", "band").agg(
-            F.count("*").alias("sets"), F.sum(F.octet_length("shared") / 8).alias("shingles")
-        ),
-        "bucket-loads",
+        banded.groupBy("home", "band").agg(F.count("*").alias("sets"), F.sum("held").alias("shingles")), "home-loads"
     )
-    whole = loads.groupBy("bucket").agg(F.sum("sets").alias("all_sets"), F.sum("shingles").alias("all_shingles"))
+    whole = loads.groupBy("home").agg(F.sum("sets").alias("all_sets"), F.sum("shingles").alias("all_shingles"))
 
-    def cuts(sets: str, shingles: str):
+    def cuts(sets: str, shingles: str) -> Column:
         return F.ceil(F.greatest(F.col(sets) / BLOCK_SETS, F.col(shingles) / BLOCK_SHINGLES))
 
-    plan = stored(
-        loads.join(whole, "bucket").select(
-            "bucket",
-            "band",
-            F.when(cuts("all_sets", "all_shingles") > 1, cuts("sets", "shingles")).otherwise(F.lit(0)).cast("int").alias("cuts"),
-        ),
-        "bucket-cuts",
+    plan = loads.join(whole, "home").select(
+        "home",
+        "band",
+        F.when(cuts("all_sets", "all_shingles") > 1, cuts("sets", "shingles")).otherwise(F.lit(0)).alias("cuts"),
     )
-    placed = sized.join(plan, ["bucket", "band"]).withColumns(
-        {
-            "band": F.when(F.col("cuts") > 0, F.col("band")).otherwise(F.lit(-1)),
-            "slice": F.when(F.col("cuts") > 0, F.pmod(F.xxhash64("key", "n"), F.col("cuts"))).otherwise(F.lit(0)),
-        }
+    cut = F.col("cuts") > 0
+    band, piece = F.when(cut, F.col("band")), F.when(cut, F.pmod(F.xxhash64("key"), F.col("cuts")))
+    return banded.join(stored(plan, "home-cuts"), ["home", "band"]).select(
+        *live.columns, F.xxhash64("home", F.coalesce(band, F.lit(-1)), F.coalesce(piece, F.lit(0))).alias("block")
     )
-    placed = stored(placed.drop("cuts"), "placed-sets")
-    blocks = placed.groupBy("bucket", "band", "slice").agg(F.min("n").alias("least"), F.max("n").alias("most"))
-    blocks = stored(blocks.withColumn("block", F.struct("band", "slice")), "bucket-blocks")
-    left = blocks.select("bucket", *(F.col(c).alias(f"l_{c}") for c in ("block", "least", "most")))
-    right = blocks.select("bucket", *(F.col(c).alias(f"r_{c}") for c in ("block", "least", "most")))
-    # an exact bound: the smaller set must hold PERCENT of the larger
-    fits = F.expr(f"l_block <= r_block and 100 * r_most >= {percent} * l_least and 100 * l_most >= {percent} * r_least")
-    pairs = stored(
-        left.join(right, "bucket").filter(fits).select("bucket", "l_block", "r_block", F.struct("bucket", "l_block", "r_block").alias("pair")),
-        "block-pairs",
+
+
+def block_pairs(placed: DataFrame, percent: int) -> DataFrame:
+    """``l, r``: the pairs of blocks with parts of a list that do not rule each other out, l <= r."""
+    entries = placed.select("block", "n", "place", F.posexplode("prefix").alias("at", "shingle"))
+    n, place = F.col("n").cast("double"), F.col("place") + F.col("at")
+    # an overlap of at most n - place is enough for partners of up to this size
+    reach = F.floor((n - place) * ((100 + percent) / percent) - n + 1e-6)
+    parts = (
+        entries.select(
+            "shingle", "block", "n", reach.alias("reach"), size_band(n).alias("band"), F.floor(place * 10 / n).alias("where")
+        )
+        .groupBy("shingle", "band", "where", "block")
+        .agg(F.min("n").alias("least"), F.max("reach").alias("reach"), F.count("*").alias("held"))
     )
-    sides = pairs.select("bucket", F.col("l_block.*"), "pair", F.lit(0).alias("side")).unionAll(
-        pairs.filter("l_block <> r_block").select("bucket", F.col("r_block.*"), "pair", F.lit(1).alias("side"))
+    parts = stored(parts, "list-parts")
+    inside = parts.filter("held > 1 and least <= reach").select(F.col("block").alias("l"), F.col("block").alias("r"))
+    others = parts.select("shingle", *(F.col(c).alias(f"o_{c}") for c in ("band", "where", "block", "least", "reach")))
+    # a partner is at most a band larger
+    near = parts.withColumn("o_band", F.explode(F.array(F.col("band"), F.col("band") + 1)))
+    across = near.join(others, ["shingle", "o_band"]).filter(
+        "(o_band > band or struct(o_where, o_block) > struct(where, block)) and least <= o_reach and o_least <= reach"
     )
-    return placed.join(sides, ["bucket", "band", "slice"])
+    across = across.select(F.least("block", "o_block").alias("l"), F.greatest("block", "o_block").alias("r"))
+    return inside.unionAll(across).distinct()
 
 
 class Overlaps:
@@ -330,22 +327,27 @@ def find(parent: dict, x):
     return x
 
 
+def similar_order(shingles: list[np.ndarray]) -> list[int]:
+    """The sets by their smallest hashes, so that similar ones follow each other."""
+    return sorted(range(len(shingles)), key=lambda k: shingles[k][:4].tolist())
+
+
 def verify(percent: int):
-    """Of a block pair: ``rep, root, links``: for each set its links to sets of the other side
-    (counted in documents), and the smallest document joined with it by links in here."""
+    """Of a pair of blocks: ``number, root, links``: for each set its links to sets of the other side
+    (counted in documents), and the smallest class joined with it by links in here."""
 
     def run(rows: pa.Table) -> pa.Table:
-        rep, copies, n, side = (np.array(rows.column(c).to_pylist(), "<i8") for c in ("rep", "copies", "n", "side"))
+        number, copies, n, side = (np.array(rows.column(c).to_pylist(), "<i8") for c in ("number", "copies", "n", "side"))
         shingles = [np.frombuffer(b, "<u8") for b in rows.column("shared").to_pylist()]
         left = np.flatnonzero(side == 0)
         right = np.flatnonzero(side == 1)
         within = not len(right)
         if within:
             right = left
-        left = left[np.lexsort((rep[left], n[left]))]
+        left = left[similar_order([shingles[k] for k in left])]
         overlaps = Overlaps([shingles[k] for k in right])
-        links = np.zeros(len(rep), "<i8")
-        parent = {int(r): int(r) for r in rep}
+        links = np.zeros(len(number), "<i8")
+        parent = {int(r): int(r) for r in number}
         for x in left.tolist():
             both = overlaps.of(shingles[x])
             linked = right[100 * both >= percent * (n[x] + n[right] - both)]
@@ -354,29 +356,21 @@ def verify(percent: int):
             if not within:
                 links[linked] += copies[x]
             for y in linked.tolist():
-                a, b = sorted((find(parent, int(rep[x])), find(parent, int(rep[y]))))
+                a, b = sorted((find(parent, int(number[x])), find(parent, int(number[y]))))
                 parent[b] = a
-        roots = [find(parent, int(r)) for r in rep]
-        return pa.table({"rep": pa.array(rep), "root": pa.array(roots, pa.int64()), "links": pa.array(links)})
+        roots = [find(parent, int(r)) for r in number]
+        return pa.table({"number": pa.array(number), "root": pa.array(roots, pa.int64()), "links": pa.array(links)})
 
     return run
 
 
-def join_documents(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """``doc_id, n_shingles, component_id, n_links`` of each row.
-
-    A text without words has an empty set, linked with nothing; a row without doc_id is compared with
-    nothing and has no component. Rows that repeat are copies of one another.
-    """
-    parts = tasks(docs.sparkSession)
-    own = docs.select("doc_id", "text").mapInArrow(describe(words), "doc_id bigint, n bigint, key bigint")
-    own = stored(own, "document-sets")
-    classes = stored(
-        own.filter("n > 0 and doc_id is not null")
-        .groupBy("key", "n")
-        .agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")),
-        "set-classes",
-    )
+def class_links(docs: DataFrame, own: DataFrame, words: int, percent: int) -> DataFrame:
+    """``key, n, copies, rep, component, links`` of the classes of the rows ``own`` with a doc_id and
+    words. rep: the smallest doc_id; links: to other classes, in documents."""
+    classes = own.filter("n > 0 and doc_id is not null").groupBy("key")
+    classes = classes.agg(F.max("n").alias("n"), F.min("doc_id").alias("rep"), F.count("*").alias("copies"))
+    classes = stored(classes.withColumn("number", F.monotonically_increasing_id()), "set-classes")
+    parts = -(-(classes.agg(F.sum("n")).first()[0] or 1) // PART_SHINGLES)
     live = (
         docs.filter("doc_id is not null")
         .select("text")
@@ -387,31 +381,47 @@ def join_documents(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
         .applyInArrow(find_prefixes(percent), LIVE)
     )
     live = stored(live, "live-sets")
-    buckets = components(index_edges(live, percent), "a", "b")
-    known = live.join(buckets.withColumnRenamed("node", "key"), "key").join(
-        classes.withColumn("n", F.col("n").cast("int")), ["key", "n"]
+    held = F.octet_length("shared") / 8
+    placed = stored(in_blocks(live.select("key", "n", "prefix", "place", "home", held.alias("held"))), "placed-sets")
+    pairs = stored(block_pairs(placed, percent), "block-pairs")
+    pair = F.struct("l", "r").alias("pair")
+    sides = pairs.select(F.col("l").alias("block"), pair, F.lit(0).alias("side")).unionAll(
+        pairs.filter("l <> r").select(F.col("r").alias("block"), pair, F.lit(1).alias("side"))
     )
-    pairs = block_pairs(known.select("key", "n", "shared", F.col("component").alias("bucket"), "rep", "copies"), percent)
+    met = placed.select("key", "block").join(sides, "block").join(classes.select("key", "number", "copies"), "key")
+    met = stored(met.select("key", "pair", "side", "number", "copies"), "met-sets")
     found = (
-        pairs.select("pair", "side", "rep", "copies", "n", "shared")
+        live.select("key", "n", "shared")
+        .join(met, "key")
+        .select("pair", "side", "number", "copies", "n", "shared")
         .groupBy("pair")
-        .applyInArrow(verify(percent), "rep bigint, root bigint, links bigint")
+        .applyInArrow(verify(percent), "number bigint, root bigint, links bigint")
     )
     found = stored(found, "links")
-    joined = components(found, "rep", "root")
-    counts = found.groupBy("rep").agg(F.sum("links").alias("links"))
-    told = stored(
-        classes.join(counts, "rep", "left")
-        .join(joined.withColumnRenamed("node", "rep"), "rep", "left")
-        .select(
-            "key",
-            "n",
-            F.coalesce("component", "rep").alias("component_id"),
-            (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
-        ),
-        "class-components",
+    joined = components(found, "number", "root").withColumnRenamed("node", "number")
+    counts = found.groupBy("number").agg(F.sum("links").alias("links"))
+    return stored(
+        classes.join(counts, "number", "left")
+        .join(joined, "number", "left")
+        .select("key", "n", "copies", "rep", F.coalesce("component", "number").alias("component"), F.coalesce("links", F.lit(0)).alias("links")),
+        "class-links",
     )
-    some = own.filter("n > 0 and doc_id is not null").join(told, ["key", "n"])
+
+
+def join_documents(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """``doc_id, n_shingles, component_id, n_links`` of each row.
+
+    A text without words has an empty set, linked with nothing; a row without doc_id is compared with
+    nothing and has no component. Rows that repeat are copies of one another.
+    """
+    own = docs.select(F.col("doc_id").cast("bigint"), "text")
+    own = stored(own.mapInArrow(describe(words), "doc_id bigint, n bigint, key binary"), "document-sets")
+    linked = class_links(docs, own, words, percent)
+    smallest = linked.groupBy("component").agg(F.min("rep").alias("component_id"))
+    told = linked.join(smallest, "component").select(
+        "key", "component_id", (F.col("links") + F.col("copies") - 1).alias("n_links")
+    )
+    some = own.filter("n > 0 and doc_id is not null").join(stored(told, "class-components"), "key")
     rest = own.filter("n = 0 or doc_id is null")
     return some.select("doc_id", F.col("n").alias("n_shingles"), "component_id", "n_links").unionAll(
         rest.select("doc_id", "n", "doc_id", F.lit(0).cast("bigint"))
@@ -419,14 +429,29 @@ def join_documents(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """One row of each component: that of its smallest doc_id. Rows without doc_id all stay.
+    """One row of each component, with all its columns: of the smallest doc_id, and of its texts one.
 
-    A doc_id names one document; of rows that repeat it one stays.
+    Rows without doc_id or without words all stay. Texts count as they are: of rows that repeat a doc_id
+    with texts of different components, one of each component stays.
     """
-    heads = join_documents(docs).filter("doc_id = component_id").select("doc_id").distinct()
+    digest = F.md5(F.col("text").cast("binary"))
+    own = docs.select(F.col("doc_id").cast("bigint"), digest.alias("digest"), "text")
+    own = stored(own.mapInArrow(describe(WORDS), "doc_id bigint, digest string, n bigint, key binary"), "document-sets")
+    linked = class_links(docs, own, WORDS, PERCENT)
+    rows = own.filter("n > 0 and doc_id is not null").groupBy("key", "doc_id", "digest").agg(F.count("*").alias("same"))
+    heads = rows.join(linked.select("key", "component"), "key").groupBy("component")
+    heads = heads.agg(F.min(F.struct("doc_id", "digest", "same")).alias("h")).select(F.col("h.doc_id").alias("id"), "h.digest", "h.same")
     heads = stored(heads, "component-heads")
-    kept = docs.join(heads, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns)
-    return kept.unionAll(docs.filter("doc_id is null"))
+
+    def those(chosen: DataFrame) -> DataFrame:
+        return docs.join(chosen, (docs["doc_id"] == chosen["id"]) & (F.md5(docs["text"].cast("binary")) == chosen["digest"]), "left_semi")
+
+    # a row that is repeated as it is, which is rare, is looked for among those alone
+    kept = those(heads.filter("same = 1"))
+    repeated = heads.filter("same > 1")
+    if not repeated.isEmpty():
+        kept = kept.unionAll(those(repeated).dropDuplicates(["doc_id", "text"]))
+    return kept.unionAll(docs.filter(docs["doc_id"].isNull() | ~F.coalesce(docs["text"].rlike(r"[^\x20\x09-\x0D]"), F.lit(False))))
 
 
 def op2_set_relation_join(spark, sf_dir: str) -> DataFrame:

@@ -136,3 +136,44 @@ def test_components(spark, shape):
             parent[high] = low
     found = components.components(spark.createDataFrame(edges, "a bigint, b bigint"), "a", "b").collect()
     assert sorted((r.node, r.component) for r in found) == sorted((x, root(x)) for x in parent)
+
+
+def test_a_chain_is_not_compared_as_a_whole(spark):
+    """Each text overlaps the next, too little to be linked; sets are sent to their neighbours only."""
+    words = [f"w{k}" for k in range(30 * 400 + 100)]
+    rows = [(k, " ".join(words[30 * k : 30 * k + 100])) for k in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    live = (
+        docs.select("text").mapInArrow(setjoin.deal_shingles(5, 3), setjoin.PACKED)
+        .groupBy("part").applyInArrow(setjoin.count_frequencies(3), setjoin.SHARED)
+        .groupBy("part").applyInArrow(setjoin.find_prefixes(80), setjoin.LIVE)
+    )
+    light = setjoin.stored(live.selectExpr("key", "n", "prefix", "place", "home", "octet_length(shared) / 8 as held"), "chain")
+    placed = setjoin.stored(setjoin.in_blocks(light), "chain-blocks")
+    pairs = setjoin.block_pairs(placed, 80)
+    sent = placed.join(pairs, (pairs["l"] == placed["block"]) | (pairs["r"] == placed["block"])).count()
+    # the first and the last share too little with anyone
+    assert light.count() == 398 and sent < 5 * 400
+    assert set(result(setjoin.join_documents(docs)).values()) == {(96, k, 0) for k in range(400)}
+
+
+def test_one_of_each_loses_no_text(spark):
+    a, b = "a b c d e f", "one two three four five six"
+    rows = [(3, a, 0, 1), (5, a, 0, 2), (5, b, 0, 3), (6, None, 0, 4), (6, " ", 0, 5), (7, b, 0, 6), (7, b, 0, 6), (None, a, 0, 7)]
+    rows += [(9, "only this text here now", 0, 8)] * 2
+    for order in (rows, rows[::-1]):
+        kept = setjoin.one_of_each(spark.createDataFrame(order, "doc_id bigint, text string, id int, digest int"))
+        assert kept.columns == ["doc_id", "text", "id", "digest"]
+        found = sorted((tuple(r) for r in kept.collect()), key=repr)
+        wanted = [(3, a, 0, 1), (5, b, 0, 3), (6, None, 0, 4), (6, " ", 0, 5), (None, a, 0, 7), (9, "only this text here now", 0, 8)]
+        assert found == sorted(wanted, key=repr)
+
+
+def test_long_texts_hash_as_short_ones(monkeypatch):
+    from quirefold.llm import wordhash
+
+    draw = random.Random(3)
+    texts = [" ".join("x" * draw.randrange(1, 90) + str(k % 7) for k in range(60)) for _ in range(5)] + ["y" * 500, ""]
+    whole = [(row, found.tolist()) for row, found in setjoin.sets(pa.array(texts), 5)]
+    monkeypatch.setattr(wordhash, "PIECE", 64)
+    assert [(row, found.tolist()) for row, found in setjoin.sets(pa.array(texts), 5)] == whole
