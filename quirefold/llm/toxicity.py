@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .tables import stored, table
+from .tables import give_back, stored, table
 
 MOST_LABELLED = 8_000
 THRESHOLD = 0.7
@@ -64,9 +64,15 @@ def remainder(doc_id: Column) -> Column:
 def labelled_sample(docs: DataFrame, labels: DataFrame, most: int) -> DataFrame:
     """``toxic, text`` of at most so many documents a class, none of them held out."""
     open_rows = labels.filter(F.col("toxic").isin(0, 1) & (remainder(F.col("doc_id")) != 1)).select("doc_id", "toxic").distinct()
-    drawn = [
-        open_rows.filter(F.col("toxic") == kind).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most) for kind in (0, 1)
-    ]
+    sizes = dict(open_rows.groupBy("toxic").count().collect())
+
+    def draw(kind: int) -> DataFrame:
+        # a share by hash first, a fifth more than wanted and some, so that few rows meet in one task
+        share = min(1.0, (1.2 * most + 100) / max(sizes.get(kind, 0), 1))
+        few = (F.col("toxic") == kind) & (F.xxhash64("doc_id").cast("double") <= (2 * share - 1) * 2.0**63)
+        return open_rows.filter(few).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+
+    drawn = [draw(kind) for kind in (0, 1)]
     chosen = F.broadcast(drawn[0].unionAll(drawn[1]))  # at most 2 x most rows of two numbers
     return stored(docs.select("doc_id", "text").join(chosen, "doc_id").select("toxic", "text"), "labelled-sample")
 
@@ -128,9 +134,9 @@ class Model:
         norm = self.rate * len(words)
         return [(a, b, s, norm * math.exp(-self.scale * s)) for a, b, s in maximal_segments(scores)]
 
-    def features(self, words: list[str]) -> tuple[float, float]:
+    def features(self, segments: list[tuple[int, int, float, float]]) -> tuple[float, float]:
         """Sum over the significant segments, and the best: how much less than once each is expected."""
-        worth = [-math.log(max(e, 1e-300)) for *_, e in self.segments(words)]
+        worth = [-math.log(max(e, 1e-300)) for *_, e in segments]
         total = sum(w for w in worth if w > -math.log(SIGNIFICANT))
         return math.log1p(total), max([*worth, -5.0])
 
@@ -148,19 +154,20 @@ def squash(best: float) -> float:
 def maximal_segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
     """All maximal scoring segments of a sequence, in order."""
     sums = np.concatenate([[0.0], np.cumsum(scores)])
-    kept: list[tuple[int, int, float, float]] = []  # start, stop, sum before, sum after
+    kept: list[tuple[int, int, float, float, int]] = []  # start, stop, sum before, sum after, link
     for at in np.flatnonzero(scores > 0).tolist():
         start, left, right = at, float(sums[at]), float(sums[at + 1])
-        while True:
-            j = len(kept) - 1
-            while j >= 0 and kept[j][2] >= left:
-                j -= 1
-            if j < 0 or kept[j][3] >= right:
-                break
-            start, left = kept[j][0], kept[j][2]
+        # the nearest segment to the left that begins at a smaller sum; a segment links to its own, and
+        # those in between are not looked at again
+        j = len(kept) - 1
+        while j >= 0 and kept[j][2] >= left:
+            j = kept[j][4]
+        while j >= 0 and kept[j][3] < right:
+            start, _, left, _, link = kept[j]
             del kept[j:]
-        kept.append((start, at + 1, left, right))
-    return [(a, b, right - left) for a, b, left, right in kept]
+            j = link
+        kept.append((start, at + 1, left, right, j))
+    return [(a, b, right - left) for a, b, left, right, _ in kept]
 
 
 def log_odds(toxic: np.ndarray, clean: np.ndarray, prior_toxic: np.ndarray, prior: float, ratio: float):
@@ -217,14 +224,15 @@ def scored(model, keep_segments: bool):
             n, total, best, probability, found = [], [], [], [], []
             for text in batch.column(batch.num_columns - 1):
                 words = words_of(text.as_py())
-                t, b = own.features(words)
+                segments = own.segments(words)
+                t, b = own.features(segments)
                 n.append(len(words))
                 total.append(t)
                 best.append(b)
                 probability.append(own.probability(t, b))
                 if keep_segments:
                     names = ("start", "stop", "score", "expected")
-                    found.append([dict(zip(names, s, strict=True)) for s in own.segments(words) if s[3] < SIGNIFICANT])
+                    found.append([dict(zip(names, s, strict=True)) for s in segments if s[3] < SIGNIFICANT])
             arrays = [
                 *batch.columns[:-1],
                 pa.array(n, pa.int64()),
@@ -350,8 +358,10 @@ def without_toxic(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own: Model = shared.value
         for batch in slices(batches):
-            keep = [own.probability(*own.features(words_of(t.as_py()))) < threshold for t in batch.column(at)]
+            keep = [own.probability(*own.features(own.segments(words_of(t.as_py())))) < threshold for t in batch.column(at)]
             yield batch.filter(pa.array(keep, pa.bool_()))
+        own.cache.clear()
+        give_back()
 
     return docs.mapInArrow(run, docs.schema)
 

@@ -1,5 +1,7 @@
 """Toxic segments: the segment search against its definition, scores on held-out documents, odd rows."""
 
+import inspect
+import math
 import random
 import zlib
 
@@ -107,3 +109,45 @@ def test_without_labels_or_rows_nothing_is_toxic(spark, tables):
     unfitted = toxicity.fit(docs, labels.limit(0))
     assert {r.score for r in toxicity.score_documents(docs, unfitted).collect()} == {0.0}
     assert toxicity.score_documents(docs.limit(0), unfitted).count() == 0
+
+
+def test_the_search_takes_time_in_proportion():
+    """Falling sums, the normal case of clean text, and rising ones: steps per score do not grow."""
+
+    class Counted(list):
+        reads = 0
+
+        def __getitem__(self, at):
+            Counted.reads += 1
+            return super().__getitem__(at)
+
+    def steps(scores):
+        Counted.reads = 0
+        source = inspect.getsource(toxicity.maximal_segments).replace("= []  #", "= Counted()  #")
+        space = {"np": np, "Counted": Counted}
+        exec(source.replace("from __future__ import annotations", ""), space)
+        assert space["maximal_segments"](scores) == toxicity.maximal_segments(scores)
+        return Counted.reads
+
+    draw = random.Random(1)
+    for unit in ([-1.0, 0.5], [-0.5, 1.0], [-1.0, 0.25, -0.25, 0.75]):
+        for shape in (np.array(unit * 4000), np.array([s * draw.random() for s in unit * 4000])):
+            assert steps(shape) <= 8 * len(shape)
+
+
+def test_scores_from_end_to_end(tables, model):
+    """Each document's score, from its words and the model's tables, by the definitions."""
+    rows = toxicity.score_documents(tables[0], model).collect()
+    texts = {}
+    for r in tables[0].collect():
+        texts.setdefault(r.doc_id, r.text)
+    for row in rows[:: len(rows) // 40]:
+        words = toxicity.words_of(texts[row.doc_id])
+        if len(words) > 200:
+            continue
+        scores = [model.words.get(w, model.prefixes.get(w[:4], model.rest) if len(w) > 4 else model.rest) for w in words]
+        worth = [-math.log(max(model.rate * len(words) * math.exp(-model.scale * s), 1e-300)) for *_, s in brute_segments(scores)]
+        total = math.log1p(sum(w for w in worth if w > -math.log(toxicity.SIGNIFICANT)))
+        best = max([-5.0, *worth])
+        x = model.weights @ np.array([1, total, max(-5.0, min(best, 15.0)) / 5])
+        assert row.score == pytest.approx(1 / (1 + math.exp(-x)))
