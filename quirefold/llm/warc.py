@@ -111,17 +111,20 @@ def write_archive(pages: DataFrame, folder: str, least_bytes: int = 0) -> None:
     owned.select("page_id", "key", head.alias("head"), F.lit(CRLF + CRLF).cast("binary").alias("tail")).write.parquet(
         f"{folder}/headers"
     )
-    # the owner's row brings the payload: page ids spread it evenly, whatever the payload; rows that
-    # repeat it lie together already
-    bearers = (
-        rows.join(owners.filter("owner is not null").withColumnRenamed("owner", "page_id"), "page_id")
-        .filter(F.sha2("payload", 256) == F.col("key"))
-        .dropDuplicates(["page_id", "key"])
-        .select("key", "payload")
-    )
-    nameless = rows.filter("page_id is null").select(F.sha2("payload", 256).alias("key"), "payload")
-    nameless = nameless.join(owners.filter("owner is null").select("key"), "key").dropDuplicates(["key"])
-    bearers.unionByName(nameless).write.parquet(f"{folder}/payloads")
+    distinct_payloads(rows, owners).write.parquet(f"{folder}/payloads")
+
+
+def distinct_payloads(rows: DataFrame, owners: DataFrame) -> DataFrame:
+    """``key, payload`` of each owner, once.
+
+    The owner's row brings the payload. Rows are dealt by payload and page id, which spreads a payload that many
+    pages have; rows that repeat an owner lie together then, and are dropped where they lie.
+    """
+    keyed = rows.select(F.sha2("payload", 256).alias("key"), "page_id", "payload")
+    named = owners.filter("owner is not null").withColumnRenamed("owner", "page_id")
+    bearers = keyed.join(named.hint("merge"), ["key", "page_id"]).dropDuplicates(["key", "page_id"])
+    nameless = keyed.filter("page_id is null").join(owners.filter("owner is null").select("key"), "key")
+    return bearers.select("key", "payload").unionByName(nameless.select("key", "payload").dropDuplicates(["key"]))
 
 
 def read_records(spark: SparkSession, folder: str) -> DataFrame:

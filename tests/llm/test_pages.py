@@ -236,3 +236,15 @@ def test_null_and_empty_pages(spark, model):
     assert [r.text for r in found][:2] == ["", ""]
     assert htmlextract.extract(pages_of(spark, []), model).count() == 0
     assert htmlextract.fit(pages_of(spark, [])).main_text("<p>x</p>") in ("", "x")
+
+
+def test_writing_shuffles_a_payload_once(spark):
+    rows = pages_of(spark, [(1, "u", "x"), (2, "u", "x"), (2, "u", "x"), (None, "u", "y")]).selectExpr(
+        "page_id", "url", "cast(coalesce(html, '') as binary) as payload"
+    )
+    owners = spark.range(3).selectExpr("sha2(cast(id as string), 256) as key", "nullif(id, 0) as owner")
+    payloads = warc.distinct_payloads(rows, owners.hint("merge"))
+    plan = payloads._jdf.queryExecution().explainString(payloads._sc._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    moved = re.findall(r"\) Exchange\nInput \[\d+\]: \[([^\]]*)\]", plan)
+    by_page = [m for m in moved if "payload" in m and "page_id" in m]
+    assert len(by_page) == 1
