@@ -35,7 +35,7 @@ STAGES = [
     ("packing", pack),
 ]
 
-#: SQL has no tokenizer and no model; the tests hold the result against a brute-force version
+#: SQL has no tokenizer and no model; tests/llm/test_pipeline.py holds the result against a brute-force version
 ORACLE_SQL = None
 
 
