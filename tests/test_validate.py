@@ -1,5 +1,7 @@
 """Validation: every reason, every boundary, and the inputs that are easy to get wrong."""
 
+import random
+from datetime import datetime, timezone
 import json
 
 import pytest
@@ -211,3 +213,46 @@ def test_replay_pace(spark):
     assert unpaced == 0
     with pytest.raises(ValueError):
         ingest.replay_schedule(accepted, rows_per_slice=0)
+
+
+def iso_texts():
+    """Dates, times and offsets in all forms, in and out of range."""
+    draw = random.Random(4)
+
+    def day():
+        y, m, d = draw.choice([1, 1583, 2020, 2024, 2026, 9999]), draw.randrange(14), draw.randrange(33)
+        w, k = draw.randrange(55), draw.randrange(9)
+        forms = [f"{y:04}-{m:02}-{d:02}"] * 3 + [f"{y:04}{m:02}{d:02}", f"{y:04}-W{w:02}-{k}", f"{y:04}-W{w:02}", f"{y:04}W{w:02}{k}"]
+        return draw.choice(forms)
+
+    def clock(digits):
+        h, m, s = draw.randrange(26), draw.randrange(62), draw.randrange(62)
+        f = "".join(draw.choices("0123456789", k=draw.randrange(1, digits)))
+        basic, extended = f"{h:02}{m:02}{s:02}", f"{h:02}:{m:02}:{s:02}"
+        return draw.choice([f"{h:02}", extended[:5], basic[:4], extended, basic, f"{extended}.{f}", f"{basic},{f}", f"{extended},{f}"])
+
+    for _ in range(4000):
+        text = day()
+        if draw.random() < 0.9:
+            text += draw.choice("TTTT tx") + clock(12) + draw.choice(["", "Z", "Z", draw.choice("+-") + clock(7)])
+        yield text[: draw.randrange(len(text))] if draw.random() < 0.05 else text
+
+
+def test_instants_are_those_of_the_iso_grammar(spark):
+    extra = ["12:00", "2026-01", "", " 2026-01-01", "2026-01-01T24:00", "0000-01-01", "2026-01-01T00:00:00Z\n", "20260101T000000Z"]
+    extra += ["2026-01-01T00Z", "2026-01-01T00:00:00,5Z", "2026-01-01T00:00:00.1234567891Z", "9999-12-31T23:59:59-01:00"]
+
+    def by_hand(text):
+        try:
+            found = datetime.fromisoformat(text.replace("Z", "+00:00"))
+            found = found if found.tzinfo else found.replace(tzinfo=timezone.utc)
+            return found.astimezone(timezone.utc).strftime("%Y-%m-%dT%H:%M:%S.%f").zfill(26)
+        except (ValueError, OverflowError):
+            return None
+
+    texts = sorted({*iso_texts(), *extra})
+    shown = F.date_format(instants.parse_iso(F.col("s")), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    found = dict(spark.createDataFrame([(t,) for t in texts], "s string").select("s", shown).collect())
+    wanted = {t: by_hand(t) for t in texts}
+    assert sum(w is not None for w in wanted.values()) > 1500
+    assert {t: (found[t], w) for t, w in wanted.items() if found[t] != w} == {}
