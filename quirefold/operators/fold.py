@@ -55,10 +55,10 @@ def fold_accepted_by_title(accepted_valid: DataFrame) -> DataFrame:
 def changelog(valid: DataFrame, max_rows_per_task: int = 1_000_000) -> DataFrame:
     """The state of the page after each applied event, in order of arrival.
 
-    A running aggregate needs a page's events in order. A page with more than
-    ``max_rows_per_task`` events is cut into slices of ingest_seq: the running values are
-    taken within each slice, and the totals of the slices before are added on. Rows that open
-    a slice are few, so only those totals are put in order per page.
+    A running aggregate needs a page's events in order. Every page is cut into slices of
+    ``max_rows_per_task`` arrival numbers: the running values are taken within each slice, and the totals of
+    the page's earlier slices are added on. Events are dealt by page and slice alone, so a page with any
+    share of them is spread; by page only the totals meet, one row a slice.
     """
     if max_rows_per_task < 1:
         raise ValueError("max_rows_per_task must be positive")
@@ -79,14 +79,8 @@ def changelog(valid: DataFrame, max_rows_per_task: int = 1_000_000) -> DataFrame
     applied = events.select(*PAGE_KEY, "ingest_seq", "byte_delta", edit, F.lit(0).alias("_new"))
     marked = applied.unionByName(debut, allowMissingColumns=True)
 
-    large = (
-        per_editor.groupBy(*PAGE_KEY)
-        .agg(F.sum("_rows").alias("_rows"), F.min("ingest_seq").alias("_start"))
-        .filter(F.col("_rows") > max_rows_per_task)
-        .select(*PAGE_KEY, "_start")
-    )
-    slice_no = F.coalesce(F.expr(f"(ingest_seq - _start) div {max_rows_per_task}"), F.lit(-1))
-    cut = marked.join(large, PAGE_KEY, "left").withColumn("_slice", slice_no).drop("_start")
+    # dealt once, for the running values and for the totals
+    cut = in_slices(marked, max_rows_per_task)
 
     # a range frame: the event and its debut row share a sequence and count as one position
     in_slice = Window.partitionBy(*PAGE_KEY, "_slice").orderBy("ingest_seq")
@@ -102,19 +96,7 @@ def changelog(valid: DataFrame, max_rows_per_task: int = 1_000_000) -> DataFrame
     values = [measure.over(running).alias(name) for name, measure in measures.items()]
     local = cut.select("ingest_seq", *PAGE_KEY, "_slice", "_new", "_edit", *values).filter(is_event)
 
-    # the running values are highest, or lowest, at the end of a slice; only the sum needs its last row
-    totals = (
-        local.groupBy(*PAGE_KEY, "_slice")
-        .agg(
-            F.max("_slice").alias("_at"),
-            F.max("edit_count").alias("edit_count"),
-            F.max_by("net_byte_delta", "ingest_seq").alias("net_byte_delta"),
-            F.max("unique_editors").alias("unique_editors"),
-            F.min("created_at").alias("created_at"),
-            F.max("_last").alias("_last"),
-        )
-        .filter("_at >= 0")
-    )
+    totals = cut.groupBy(*PAGE_KEY, "_slice").agg(*(measure.alias(name) for name, measure in measures.items()))
     earlier = Window.partitionBy(*PAGE_KEY).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     carried = totals.select(
         *PAGE_KEY,
@@ -142,3 +124,11 @@ def changelog(valid: DataFrame, max_rows_per_task: int = 1_000_000) -> DataFrame
             F.lit(False).alias("is_deleted"),
         )
     )
+
+
+def in_slices(rows: DataFrame, rows_per_slice: int) -> DataFrame:
+    """Rows with their ``_slice`` of arrival numbers, dealt by page and slice."""
+    cut = rows.withColumn("_slice", F.expr(f"ingest_seq div {rows_per_slice}"))
+    # a number of partitions, else small ones are merged and a page's slices meet again
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return cut.repartition(tasks, *PAGE_KEY, "_slice")

@@ -66,17 +66,22 @@ def to_raw_log(accepted: DataFrame) -> DataFrame:
 
 
 def replay_schedule(
-    accepted: DataFrame, speed: float = 1.0, max_gap: float = MAX_GAP_SECONDS, rows_per_slice: int = 1_000_000
+    accepted: DataFrame,
+    speed: float = 1.0,
+    max_gap: float = MAX_GAP_SECONDS,
+    rows_per_slice: int = 1_000_000,
+    slices_per_block: int = 10_000,
 ) -> DataFrame:
     """Pause before each record of a replay and its release time, in microseconds.
 
     The pause is the gap to the previous record that has an event time, divided by
     ``speed``, if positive, and at most ``max_gap`` seconds. The order is global, so the log
-    is cut into slices of ``ingest_seq``; a slice is one task's window. Only one summary row
-    per slice is put in global order, to carry the last event time and the elapsed time over.
+    is cut into slices of ``ingest_seq``; a slice is one task's window. A summary row per slice carries the
+    last event time and the elapsed time over, and these again go by blocks of ``slices_per_block``
+    slices: only a row per block is put in global order.
     """
-    if rows_per_slice < 1:
-        raise ValueError("rows_per_slice must be positive")
+    if rows_per_slice < 1 or slices_per_block < 1:
+        raise ValueError("rows_per_slice and slices_per_block must be positive")
     in_slice = Window.partitionBy("_slice").orderBy("ingest_seq")
     before = in_slice.rowsBetween(Window.unboundedPreceding, -1)
     upto = in_slice.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -87,8 +92,13 @@ def replay_schedule(
     ).repartition("_slice")
     dated = F.when(F.col("epoch_seconds").isNotNull(), F.col("ingest_seq"))
     ends = cut.groupBy("_slice").agg(F.max_by("epoch_seconds", dated).alias("_end"))
-    slices_before = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    carried = ends.select("_slice", F.last("_end", ignorenulls=True).over(slices_before).alias("_carried"))
+    carried = _before_slice(
+        ends.withColumnRenamed("_end", "_value"),
+        slices_per_block,
+        over=lambda c: F.last(c, ignorenulls=True),
+        total=lambda c, at: F.max_by(c, F.when(c.isNotNull(), at)),
+        add=lambda block, own: F.coalesce(own, block),
+    ).withColumnRenamed("_value", "_carried")
 
     previous = F.coalesce(F.last("epoch_seconds", ignorenulls=True).over(before), F.col("_carried"))
     paced = (
@@ -98,7 +108,14 @@ def replay_schedule(
         .drop("_gap", "_carried")
     )
     totals = paced.groupBy("_slice").agg(F.sum("pause_micros").alias("_total"))
-    elapsed = totals.select("_slice", F.coalesce(F.sum("_total").over(slices_before), F.lit(0)).alias("_elapsed"))
+    zero = F.lit(0)
+    elapsed = _before_slice(
+        totals.withColumnRenamed("_total", "_value"),
+        slices_per_block,
+        over=F.sum,
+        total=lambda c, at: F.sum(c),
+        add=lambda block, own: F.coalesce(block, zero) + F.coalesce(own, zero),
+    ).withColumnRenamed("_value", "_elapsed")
     return paced.join(elapsed, "_slice", "left").select(
         "ingest_seq",
         "epoch_seconds",
@@ -107,6 +124,22 @@ def replay_schedule(
     )
 
 
+def _before_slice(slices: DataFrame, slices_per_block: int, over, total, add) -> DataFrame:
+    """``_slice, _value``: what the values of all earlier slices come to.
+
+    ``over`` sums up within a window, ``total`` a block, and ``add`` joins what earlier blocks and earlier slices of
+    the own block come to. The one window without a partition has a row per block.
+    """
+    value = F.col("_value")
+    blocked = slices.select("_slice", "_value", F.expr(f"_slice div {slices_per_block}").alias("_block"))
+    in_block = Window.partitionBy("_block").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocked.groupBy("_block").agg(total(value, F.col("_slice")).alias("_value"))
+    blocks_before = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    before = blocks.select("_block", over(value).over(blocks_before).alias("_earlier"))
+    own = blocked.select("_slice", "_block", over(value).over(in_block).alias("_own"))
+    return own.join(before, "_block", "left").select("_slice", add(F.col("_earlier"), F.col("_own")).alias("_value"))
+
+
 def _pause_micros(gap: Column, speed: float, max_gap: float) -> Column:
     if speed <= 0:
         return F.lit(0).cast("bigint")

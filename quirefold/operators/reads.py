@@ -93,16 +93,21 @@ def page_current(page_state: DataFrame, wiki: str, page_title: str) -> DataFrame
     return of_page(page_state, wiki, page_title).select(*STATE_COLUMNS)
 
 
-def history_with_state(page_events: DataFrame, page_state: DataFrame) -> DataFrame:
+def history_with_state(page_events: DataFrame, page_state: DataFrame, hot_edits: int = 1_000_000) -> DataFrame:
     """Every ledger event beside the current state of its page, which may be absent.
 
-    Page state holds a page once, so the join does not multiply rows, and a page with very
-    many events is split by the adaptive skew join (its events are the streamed side).
+    Page state holds a page once, so the join does not multiply rows. Pages of more than ``hot_edits`` edits
+    are at most that part of all edits in number: their states are broadcast, and their events stay
+    where they lie. All other events meet their state by page.
     """
     events = page_events.select(
         *PAGE_KEY, "ingest_seq", "event_type", "editor", "byte_delta", "revision_id", "occurred_at"
     )
-    return events.join(page_state.select(*PAGE_KEY, *STATE_COLUMNS), PAGE_KEY, "left")
+    state = page_state.select(*PAGE_KEY, *STATE_COLUMNS)
+    hot = F.broadcast(state.filter(F.col("edit_count") > hot_edits))
+    others = state.filter(F.coalesce(F.col("edit_count") <= hot_edits, F.lit(True)))
+    of_others = events.join(hot.select(*PAGE_KEY), PAGE_KEY, "left_anti").join(others, PAGE_KEY, "left")
+    return events.join(hot, PAGE_KEY).unionAll(of_others)
 
 
 def exists(rows: DataFrame) -> bool:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +13,7 @@ from ..functions import instants
 from ..operators import audit, compare, dedup, fold, ingest, reads, validate
 from ..schemas import LEDGER_KEY, PAGE_KEY, REBUILD_LOG, VALID, stored_at
 from ..session import configure, new_run_dir
-from ..sinks.event_logs import EventLogs, append_raw_log
+from ..sinks.event_logs import EventLogs, append_raw_log, publish_counted, published_counts
 from ..sinks.page_state import PageStateTable
 from ..sinks.rebuild_log import RebuildLog
 from ..sources import logs
@@ -84,7 +85,7 @@ def publish(spark, sf_dir):
 
 def replay_pacing(spark, sf_dir):
     accepted = ingest.accept(raw_events(spark, sf_dir))
-    return ingest.replay_schedule(accepted, speed=4.0, rows_per_slice=1000).drop("epoch_seconds")
+    return ingest.replay_schedule(accepted, speed=4.0, rows_per_slice=1000, slices_per_block=4).drop("epoch_seconds")
 
 
 def jsonl_scan(spark, sf_dir):
@@ -105,6 +106,21 @@ def sse_scan(spark, sf_dir):
     return logs.sse_events(logs.sse_frames(spark, path))
 
 
+def sse_resume(spark, sf_dir):
+    """The id to go on from after the captured stream, whose ids rise."""
+    return logs.last_event_id(sse_scan(spark, sf_dir).withColumn("number", F.col("event_id").cast("bigint")), "number")
+
+
+def delivery_counts(spark, sf_dir):
+    """The raw log published in its three deliveries: what each saw, sent, delivered and failed to."""
+    path = new_run_dir(spark, "published")
+    records = raw_events(spark, sf_dir)
+    n = events_table(spark, sf_dir).agg(F.count("*")).scalar()
+    for k in range(3):
+        publish_counted(records.filter(F.expr("ingest_seq") >= k * n).filter(F.expr("ingest_seq") < (k + 1) * n), path)
+    return published_counts(spark, path).drop("published_at")
+
+
 # --- validation ---
 def validate_reasons(spark, sf_dir):
     return validate.counts_by_reason(_classified(spark, sf_dir))
@@ -127,6 +143,11 @@ def valid_json_read_back(spark, sf_dir):
     return _zoneless(validate.from_valid_json(validate.to_valid_json(_valid(spark, sf_dir))))
 
 
+def first_deadletter(spark, sf_dir):
+    """The earliest dead letter without a revision."""
+    return logs.first_match(validate.dead_letters(_classified(spark, sf_dir)), F.col("reason") == "missing_revision")
+
+
 def deadletter(spark, sf_dir):
     return validate.dead_letters(_classified(spark, sf_dir))
 
@@ -137,16 +158,29 @@ def deadletter_json(spark, sf_dir):
 
 def parse_instants(spark, sf_dir):
     """The event times written in the forms of ISO-8601 that occur, and read back."""
-    form, ts = F.col("event_id") % 6, F.col("ts")
+    form, ts = F.col("event_id") % 12, F.col("ts")
     shifted = ts + F.expr("INTERVAL 2 HOURS")
     full = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+    # the year of an ISO week is that of its Thursday
+    monday = F.date_trunc("week", "ts")
+    week_date = F.concat(
+        F.date_format(F.date_add(monday, 3), "yyyy"),
+        F.format_string("-W%02d-%d", F.weekofyear("ts"), F.weekday("ts") + 1),
+        F.date_format(ts, "'T'HH:mm:ss.SSSSSS"),
+    )
     text = (
         F.when(form == 0, F.date_format(ts, full + "'Z'"))
         .when(form == 1, F.date_format(ts, full + "'+00:00'"))
         .when(form == 2, F.date_format(shifted, full + "'+0200'"))
         .when(form == 3, F.date_format(ts, "yyyy-MM-dd HH:mm:ss.SSSSSS"))
         .when(form == 4, F.date_format(shifted, "yyyy-MM-dd'T'HH:mm'+02:00'"))
-        .otherwise(F.date_format(ts, "HH:mm"))
+        .when(form == 5, F.date_format(ts, "HH:mm"))
+        .when(form == 6, F.date_format(ts, "yyyyMMdd'T'HHmmss'Z'"))
+        .when(form == 7, F.date_format(ts, "yyyy-MM-dd'T'HH'Z'"))
+        .when(form == 8, F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss,SSSSSS'9999Z'"))
+        .when(form == 9, F.date_format(shifted, "yyyyMMdd HHmmss.SSSSSS'+020000'"))
+        .when(form == 10, week_date)
+        .otherwise(F.date_format(ts, "yyyy-MM"))
     )
     parsed = instants.parse_iso(text)
     return _zoneless(events_table(spark, sf_dir).select("event_id", parsed.alias("instant")))
@@ -275,6 +309,23 @@ def compare_states(spark, sf_dir):
     return compared.withColumn("differing", F.array_join("differing", ","))
 
 
+def same_states(spark, sf_dir):
+    """Whether the state is the one folded from the log dealt otherwise, and the one before the repeats."""
+    valid = _valid_table(spark, sf_dir)
+    n = events_table(spark, sf_dir).agg(F.count("*")).scalar()
+    state, again = fold.fold_pages(valid), fold.fold_pages(valid.repartition("editor"))
+    before = fold.fold_pages(valid.filter(F.col("ingest_seq") < n))
+    same, earlier = compare.same_rows(state, again), compare.same_rows(state, before)
+    return spark.range(1).select(F.lit(same).alias("same_again"), F.lit(earlier).alias("same_before"))
+
+
+def page_exists(spark, sf_dir):
+    """Whether the ledger has events of a page that occurs, and of one that does not."""
+    ledger = _ledger(_valid(spark, sf_dir))
+    known, unknown = (reads.exists(reads.of_page(ledger, "enwiki", title)) for title in ("page-7", "no such page"))
+    return spark.range(1).select(F.lit(known).alias("known"), F.lit(unknown).alias("unknown"))
+
+
 def state_check(spark, sf_dir):
     """Folded state of the accepted events against the independent fold of the sample."""
     accepted = _valid_table(spark, sf_dir).filter("accepted")
@@ -335,6 +386,19 @@ def rebuild_guard(spark, sf_dir):
     return audit.start_guard(rebuild_attempts(spark, sf_dir), last)
 
 
+def rebuild_guard_answers(spark, sf_dir):
+    """The guard's answers while attempts run, just after the last one ended, and a minute after it."""
+    log = rebuild_attempts(spark, sf_dir)
+    ended = log.join(log.filter("step = 1").select("id"), "id", "left_semi")
+    last = log.agg(F.max("completed_at")).scalar()
+    cases = (("running", log, 60), ("cooling", ended, 10), ("rested", ended, 60))
+    answers = [
+        audit.start_guard(rows, last + F.expr(f"INTERVAL {seconds} SECONDS")).select(F.lit(name).alias("moment"), "*")
+        for name, rows, seconds in cases
+    ]
+    return answers[0].unionAll(answers[1]).unionAll(answers[2])
+
+
 def rebuild_progress(spark, sf_dir):
     """Per page, the share of its valid records (copies too) that the ledger holds."""
     valid = _valid_table(spark, sf_dir)
@@ -345,10 +409,12 @@ def rebuild_progress(spark, sf_dir):
 
 
 # --- the streams, drained over the derived log ---
-def _stream_ledger(spark: SparkSession, sf_dir: str) -> tuple[EventLogs, str]:
-    """Publish the accepted events in their deliveries, and drain the validation stream over them."""
+def _stream_ledger(spark: SparkSession, sf_dir: str, everything: bool = False) -> tuple[EventLogs, str]:
+    """Publish the accepted events, or all, in their deliveries, and drain the validation stream over them."""
     root = new_run_dir(spark, "streams")
-    append_raw_log(ingest.to_raw_log(ingest.accept(raw_events(spark, sf_dir))), f"{root}/published")
+    records = raw_events(spark, sf_dir)
+    chosen = ingest.read_ingest_fields(records) if everything else ingest.accept(records)
+    append_raw_log(ingest.to_raw_log(chosen), f"{root}/published")
     published = logs.raw_log(spark, f"{root}/published")
     n = events_table(spark, sf_dir).agg(F.count("*")).scalar()
     # files are taken in the order they were written: first deliveries, repeats, moved copies
@@ -379,6 +445,20 @@ def stream_deadletter(spark, sf_dir):
     return events.deadletter().drop("run_id", "batch_id")
 
 
+def stream_deadletter_raw(spark, sf_dir):
+    """The dead letters of the whole raw log, also of what the ingest filter would keep out."""
+    events, _ = _stream_ledger(spark, sf_dir, everything=True)
+    return events.deadletter().drop("run_id", "batch_id")
+
+
+def stream_ingested_at(spark, sf_dir):
+    """Ledger events, and those stamped with a time while the stream ran."""
+    before = datetime.now(timezone.utc)
+    events, _ = _stream_ledger(spark, sf_dir)
+    during = F.col("ingested_at").between(F.lit(before), F.current_timestamp())
+    return events.page_events().agg(F.count("*").alias("events"), F.count_if(during).alias("stamped"))
+
+
 def stream_page_state(spark, sf_dir):
     _, target, _ = _stream_state(spark, sf_dir)
     return _zoneless(target.read())
@@ -404,12 +484,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         replay_pacing,
         jsonl_scan,
         sse_scan,
+        sse_resume,
+        delivery_counts,
         validate_reasons,
         classify_records,
         valid_events,
         valid_json,
         valid_json_read_back,
         deadletter,
+        first_deadletter,
         deadletter_json,
         parse_instants,
         epoch_instants,
@@ -436,6 +519,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         set_diff_keys,
         compare_states,
         state_check,
+        same_states,
+        page_exists,
+        rebuild_guard_answers,
+        stream_deadletter_raw,
+        stream_ingested_at,
         rebuild_current,
         rebuild_latest,
         rebuild_guard,

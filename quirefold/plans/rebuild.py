@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..operators import audit, compare
-from ..operators.fold import fold_pages
+from ..operators.fold import fold_distinct, fold_pages
 from ..sinks.page_state import PageStateTable
 from ..sinks.rebuild_log import RebuildLog
 
@@ -40,16 +40,8 @@ class Rebuild:
         """Rebuild and give the audit row of the attempt. Raises RebuildRefused if one may not start."""
         attempt, started_at = self._begin(asof)
         try:
-            before = self.target.current()
-            counted = Observation(f"replay-{attempt}")
-            replayed = valid.observe(counted, F.count(F.lit(1)).alias("events"))
-            if "first_arrival" in valid.columns:
-                # which copy counts was settled when the log was written, for the stream and for us
-                replayed = replayed.filter("first_arrival")
-            shadow = self._as_job_group(attempt, lambda: self.target.write_shadow(fold_pages(replayed)))
-            events = counted.get["events"]
-            different = compare.discrepancy_count(self.target.read(before), self.target.read(shadow)).first()[0]
-            self.target.swap_in(shadow, before)
+            with self.log.kept_alive():
+                events, different = self._replay(attempt, valid)
             self.log.append(attempt, 1, "succeeded", started_at, _now(), events, different)
         except Exception as error:
             # page_state still points at the old snapshot; the shadow is never read
@@ -58,6 +50,24 @@ class Rebuild:
             self.log.unlock()
         return self.status().first().asDict()
 
+    def _replay(self, attempt: int, valid: DataFrame) -> tuple[int, int]:
+        """Events replayed and pages that differed; the new state is live."""
+        before = self.target.current()
+        counted = Observation(f"replay-{attempt}")
+        replayed = valid.observe(counted, F.count(F.lit(1)).alias("events"))
+        if "first_arrival" in valid.columns:
+            # which copy counts was settled when the log was written, for the stream and for us
+            state = fold_distinct(replayed.filter("first_arrival"))
+        else:
+            state = fold_pages(replayed)
+        shadow = self._as_job_group(attempt, lambda: self.target.write_shadow(state))
+        events = counted.get["events"]
+        different = compare.discrepancy_count(self.target.read(before), self.target.read(shadow)).first()[0]
+        if not self.log.refresh():
+            raise RuntimeError("the lock was taken over while the replacement was being built")
+        self.target.swap_in(shadow, before)
+        return events, different
+
     def _begin(self, asof) -> tuple[int, datetime]:
         if not self.log.try_lock():
             raise RebuildRefused(LOCKED)

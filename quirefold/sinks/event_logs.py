@@ -8,10 +8,13 @@ reads the batch's ranges only: the earlier rows are semi-joined on the range, th
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from datetime import datetime, timezone
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.dedup import first_arrival, not_yet_in
+from ..operators.ingest import read_ingest_fields, seen_and_sent, to_raw_log
 from ..operators.validate import dead_letters, to_page_events, valid_events
 from ..schemas import (
     BATCH_ID,
@@ -29,6 +32,10 @@ from ..schemas import (
 from . import files
 
 
+#: equal copies of a record that are written out from one row
+COPIES = 10_000
+
+
 class EventLogs:
     """The three tables under one root."""
 
@@ -74,12 +81,15 @@ class EventLogs:
         marks = first.select(*FOLD_KEY, "ingest_seq", F.struct(*rest).alias("_first"))
         # equal copies as one row with their number: one of them is marked; joining on the sequence
         # too, copies of one revision do not meet in one task
-        copies = events.groupBy(*events.columns).agg(F.count("*").cast("int").alias("_copies"))
+        copies = events.groupBy(*events.columns).agg(F.count("*").alias("_copies"))
         is_first = F.col("_first").isNotNull() & F.struct(*rest).eqNullSafe(F.col("_first"))
         marked = (
             copies.join(marks, [*FOLD_KEY, "ingest_seq"], "left")
-            .select("*", F.posexplode(F.array_repeat(F.lit(0), F.col("_copies"))).alias("_copy", "_"))
-            .withColumn("first_arrival", is_first & (F.col("_copy") == 0))
+            # in chunks, so that no array holds all copies of a record that floods the log
+            .select("*", F.explode(F.expr(f"sequence(0L, (_copies - 1) div {COPIES})")).alias("_chunk"))
+            .withColumn("_here", F.least(F.lit(COPIES).cast("bigint"), F.col("_copies") - F.col("_chunk") * COPIES))
+            .select("*", F.explode(F.sequence(F.lit(1).cast("bigint"), "_here")).alias("_copy"))
+            .withColumn("first_arrival", is_first & (F.col("_chunk") == 0) & (F.col("_copy") == 1))
         )
         out = marked.select(*VALID.fieldNames(), "first_arrival", "rev_range")
         _write_ranges(out, self.valid_path, "occurred_ts", run_id, batch_id)
@@ -121,3 +131,40 @@ def append_topic(records: DataFrame, servers: str, topic: str) -> None:
 def append_raw_log(accepted: DataFrame, path: str) -> None:
     """Append accepted records to the raw log."""
     accepted.write.mode("append").parquet(path)
+
+
+COUNTS = "delivery bigint, published_at timestamp, seen bigint, sent bigint, delivered bigint, failed bigint"
+
+
+def published_counts(spark: SparkSession, path: str) -> DataFrame:
+    """What each delivery to the raw log came to; no rows before the first."""
+    counts = f"{path.rstrip('/')}_counts"
+    if not files.exists(spark, counts):
+        return spark.createDataFrame([], COUNTS)
+    return spark.read.schema(COUNTS).parquet(counts)
+
+
+def publish_counted(records: DataFrame, path: str) -> None:
+    """Append the records in scope to the raw log, and a row with the delivery's counts beside it.
+
+    seen: records that are JSON, sent: those in scope; counted while they are written. A write that fails
+    delivers nothing: what it was to send counts as failed, and its error is raised.
+    """
+    spark = records.sparkSession
+    read = read_ingest_fields(records)
+    found, written = Observation(), Observation()
+    observed = read.observe(found, F.count_if("is_json").alias("seen"), F.count_if("accepted").alias("sent"))
+    out = to_raw_log(observed.filter("accepted")).observe(written, F.count(F.lit(1)).alias("rows"))
+    number = published_counts(spark, path).agg(F.coalesce(F.max("delivery"), F.lit(0)) + 1).first()[0]
+
+    def told(seen: int, sent: int, delivered: int) -> None:
+        row = (number, datetime.now(timezone.utc), seen, sent, delivered, sent - delivered)
+        spark.createDataFrame([row], COUNTS).coalesce(1).write.mode("append").parquet(f"{path.rstrip('/')}_counts")
+
+    try:
+        append_raw_log(out, path)
+    except Exception:
+        lost = seen_and_sent(records).first()
+        told(lost.seen, lost.sent, 0)
+        raise
+    told(found.get["seen"], found.get["sent"], written.get["rows"])

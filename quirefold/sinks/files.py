@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 
 from pyspark.sql import SparkSession
@@ -33,6 +34,11 @@ def modified_millis(spark: SparkSession, path: str) -> int:
     return _fs(spark, path).getFileStatus(_path(spark, path)).getModificationTime()
 
 
+def touch(spark: SparkSession, path: str) -> None:
+    """Set the time of modification to now."""
+    _fs(spark, path).setTimes(_path(spark, path), int(time.time() * 1000), -1)
+
+
 def read_text(spark: SparkSession, path: str) -> str:
     stream = _fs(spark, path).open(_path(spark, path))
     try:

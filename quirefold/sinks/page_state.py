@@ -80,8 +80,13 @@ class PageStateTable:
             raise RuntimeError("page_state changed while its replacement was being built")
         return self._swap(shadow, shadow["versions"])
 
-    def remove_superseded(self, older_than_seconds: float = 86_400) -> int:
-        """Delete versions the pointer no longer names, once no reader can still be on them."""
+    def remove_superseded(self, older_than_seconds: float = 86_400, log=None) -> int:
+        """Delete versions the pointer no longer names, once no reader can still be on them.
+
+        None while a rebuild holds the lock of the given rebuild log: its shadow is not named yet.
+        """
+        if log is not None and log.is_locked():
+            return 0
         named = set(self.current()["versions"].values())
         removed = 0
         for version in files.partition_values(self.spark, f"{self.root}/data", "version"):

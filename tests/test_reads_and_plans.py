@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from quirefold.operators import dedup, fold, ingest, reads, validate
 from quirefold.plans.queries import QUERIES
 from quirefold.schemas import LEDGER_KEY
+from quirefold.sinks import event_logs
 from quirefold.sources.testdata import raw_events
 from support import valid
 
@@ -155,3 +156,69 @@ def test_a_hot_page_is_spread(spark):
     assert sizes < 20_000
     last = log.filter("page_title = 'hot'").agg(F.max_by(F.struct("*"), "ingest_seq").alias("l")).first().l
     assert (last.edit_count, last.net_byte_delta, last.unique_editors) == (20_000, 20_000, 3000)
+
+
+def hot_rows(spark, n=60_000):
+    return spark.range(n).selectExpr(
+        "id AS ingest_seq",
+        "'enwiki' AS wiki",
+        "if(id % 3 = 0, 'hot', concat('p', id % 5000)) AS page_title",
+        "'PageEdited' AS event_type",
+        "id AS revision_id",
+        "concat('e', id % 9000) AS editor",
+        "1 AS byte_delta",
+        "timestamp_seconds(id) AS occurred_ts",
+        "timestamp_seconds(id) AS occurred_at",
+    )
+
+
+def test_a_hot_page_is_spread_at_the_changelogs_window(spark):
+    rows = hot_rows(spark)
+    dealt = fold.in_slices(rows, 2000)
+    assert dealt.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0] < 20_000
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(fold.changelog(rows, max_rows_per_task=2000))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    windows = re.findall(r"windowspecdefinition\(([^)]*?), ingest_seq#", text)
+    assert windows and all("_slice" in w for w in windows)
+    assert re.search(r"hashpartitioning\(wiki#\d+, page_title#\d+, _slice#", text)
+
+
+def test_a_hot_pages_events_stay_where_they_lie(spark):
+    rows = hot_rows(spark)
+    state = fold.fold_pages(rows)
+    joined = reads.history_with_state(rows, state, hot_edits=1000)
+    assert joined.count() == 60_000
+    hot = joined.filter("page_title = 'hot'")
+    assert hot.filter("edit_count = 20000").count() == 20_000
+    sizes = hot.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+    assert sizes < 20_000 / 3
+    unknown = reads.history_with_state(rows, state.filter("page_title <> 'p1'"), hot_edits=1000)
+    assert unknown.filter("edit_count IS NULL").count() == rows.filter("page_title = 'p1'").count() > 0
+
+
+def test_pacing_does_not_depend_on_slices_or_blocks(spark):
+    rows = spark.range(500).selectExpr(
+        "id * 3 AS ingest_seq", "if(id % 7 = 0 OR id BETWEEN 100 AND 160, NULL, id * 0.7 + (id % 5)) AS epoch_seconds"
+    )
+    whole = sorted(map(tuple, ingest.replay_schedule(rows).collect()))
+    for per_slice, per_block in ((7, 1), (10, 3), (1, 50)):
+        cut = ingest.replay_schedule(rows, rows_per_slice=per_slice, slices_per_block=per_block)
+        assert sorted(map(tuple, cut.collect())) == whole
+    # the one window without a partition has a row per block
+    text = plan(ingest.replay_schedule(rows, rows_per_slice=7))
+    assert all("_block" in order for order in re.findall(r"windowspecdefinition\((\w+)#\d+L? ASC", text))
+
+
+def test_a_delivery_that_fails_is_counted(spark, shared):
+    value = '{"type":"edit","server_name":"en.wikipedia.org","bot":false}'
+    records = spark.createDataFrame([(1, value), (2, "{}"), (3, "no JSON"), (4, value)], "ingest_seq bigint, value string")
+    path = f"{shared}/raw"
+    event_logs.publish_counted(records, path)
+    broken = records.withColumn("ingest_seq", F.when(F.col("ingest_seq") == 4, F.raise_error(F.lit("lost"))).otherwise(F.col("ingest_seq")))
+    with pytest.raises(Exception, match="lost"):
+        event_logs.publish_counted(broken, path)
+    found = event_logs.published_counts(spark, path).orderBy("delivery").drop("published_at").collect()
+    assert [tuple(r) for r in found] == [(1, 3, 2, 2, 0), (2, 3, 2, 0, 2)]

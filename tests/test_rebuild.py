@@ -1,5 +1,6 @@
 """The read model table and its rebuild."""
 
+import threading
 import threading
 import time
 from datetime import datetime, timedelta, timezone
@@ -200,3 +201,51 @@ def test_state_check_names_the_wrong_column(built):
     assert [(r.page_title, r.edit_count_ok, r.last_editor_ok) for r in wrong] == [("p1", False, True)]
     missing = compare.state_check(table.read().filter("page_title <> 'p1'"), expected).filter("NOT all_ok").first()
     assert (missing.page_title, missing.in_both) == ("p1", False)
+
+
+def test_of_two_that_take_over_one_wins(spark, shared):
+    crashed = RebuildLog(spark, shared)
+    assert crashed.try_lock()
+    contenders = [RebuildLog(spark, shared, stale_after_seconds=0) for _ in range(6)]
+    time.sleep(0.01)
+    start, won = threading.Barrier(6), []
+
+    def contend(log):
+        start.wait()
+        if log.try_lock():
+            log.stale_after_seconds = 3600
+            won.append(log)
+
+    threads = [threading.Thread(target=contend, args=(c,)) for c in contenders]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join()
+    holders = [log for log in won if log.refresh()]
+    assert len(holders) == 1
+    # whoever lost the lock gives nothing back
+    crashed.unlock()
+    assert not crashed.refresh() and holders[0].refresh()
+    holders[0].unlock()
+    assert not files.exists(spark, crashed.lock_path)
+
+
+def test_a_long_rebuild_keeps_its_lock(spark, shared):
+    running = RebuildLog(spark, shared, stale_after_seconds=1.0)
+    other = RebuildLog(spark, shared, stale_after_seconds=1.0)
+    assert running.try_lock()
+    with running.kept_alive():
+        for _ in range(8):
+            time.sleep(0.25)
+            assert not other.try_lock() and running.is_locked()
+    time.sleep(1.2)
+    assert other.try_lock() and not running.refresh()
+
+
+def test_a_running_shadow_is_spared(built, shared):
+    log, table, rebuild = built
+    shadow = table.write_shadow(fold.fold_pages(log))
+    assert rebuild.log.try_lock()
+    assert table.remove_superseded(older_than_seconds=0, log=rebuild.log) == 0
+    table.swap_in(shadow, table.current())
+    rebuild.log.unlock()
