@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from .tables import give_back, table
-from .tokens import byte_bpe, encoder
+from .tokens import MANY, REMEMBERED, byte_bpe, encoder
 
 TIERS = (2048, 1024, 512, 256)
 BUFFER_IDS = 1 << 20
@@ -141,11 +141,11 @@ def sequences(
         yield done
 
 
-def packer(path: str, tiers: tuple[int, ...], end_id: int, with_ids: bool):
+def packer(path: str, tiers: tuple[int, ...], end_id: int, with_ids: bool, remembered: int):
     end = end_id.to_bytes(4, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, task = encoder(path), TaskContext.get().partitionId()
+        encode, task = encoder(path, remembered), TaskContext.get().partitionId()
         number, group = task << TASK_BITS, task << TASK_BITS
 
         def documents() -> Iterator[tuple]:
@@ -182,17 +182,18 @@ def pack(
     tiers: tuple[int, ...] = TIERS,
     end_id: int = 1,
     with_ids: bool = True,
+    remembered: int = REMEMBERED,
 ) -> DataFrame:
     """One row per piece of a document: where it comes from, its sequence and place there.
 
     tiers: context sizes, descending powers of two. with_ids: also ``ids``, little-endian unsigned
-    32-bit integers.
+    32-bit integers. remembered: words whose ids a worker process keeps.
     """
     schema = PIECES + (", ids binary" if with_ids else "")
-    return docs.select("doc_id", "text").mapInArrow(packer(tokenizer, tuple(tiers), end_id, with_ids), schema)
+    return docs.select("doc_id", "text").mapInArrow(packer(tokenizer, tuple(tiers), end_id, with_ids, remembered), schema)
 
 
 def op5_tiered_packing(spark, sf_dir: str) -> DataFrame:
     """All documents in sequences of at most 2048 ids; a null text is its end id alone, repeated rows
     are packed each. A special token's spelling in a text is that token, as the tokenizer takes it."""
-    return pack(table(spark, sf_dir, "documents"), byte_bpe(), with_ids=False)
+    return pack(table(spark, sf_dir, "documents"), byte_bpe(), with_ids=False, remembered=MANY)

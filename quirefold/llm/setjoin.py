@@ -41,7 +41,7 @@ PERCENT = 80
 #: shingles that a task holds before it hands them on
 FLUSH = 2_000_000
 #: shingles of the classes that are counted in one part
-PART_SHINGLES = 2_000_000
+PART_SHINGLES = 3_000_000
 BLOCK_SETS = 256
 BLOCK_SHINGLES = 60_000
 #: width of a size band of a list's part and of a home's block
@@ -150,18 +150,17 @@ def deal_shingles(words: int, parts: int):
     return run
 
 
-def _unpacked(rows: pa.Table, values: list[tuple[str, str]]) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
-    """(key, size) of every entry and the entries' values."""
+def _unpacked(rows: pa.Table, values: list[tuple[str, str]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Names and sizes of the sets, in order, the number of its set for every entry, and the entries' values."""
     joined = {c: b"".join(rows.column(c).to_pylist()) for c in rows.column_names if c != "part"}
-    counts = np.frombuffer(joined["counts"], "<i4")
-    key = np.repeat(np.frombuffer(joined["keys"], "<i8").reshape(-1, 2), counts, axis=0)
-    size = np.repeat(np.frombuffer(joined["sizes"], "<i4"), counts)
-    return key, size, [np.frombuffer(joined[name], kind) for name, kind in values]
-
-
-def other(key: np.ndarray) -> np.ndarray:
-    """Whether each name but the first differs from the one before it."""
-    return (np.diff(key, axis=0) != 0).any(axis=1)
+    name = np.frombuffer(joined["keys"], "<i8").reshape(-1, 2)
+    order = np.lexsort((name[:, 1], name[:, 0]))
+    new = np.append(np.ones(min(len(name), 1), bool), (np.diff(name[order], axis=0) != 0).any(axis=1))
+    number = np.empty(len(name), "<i4")
+    number[order] = np.cumsum(new) - 1
+    owner = np.repeat(number, np.frombuffer(joined["counts"], "<i4"))
+    size = np.frombuffer(joined["sizes"], "<i4")
+    return name[order[new]], size[order[new]], owner, [np.frombuffer(joined[n], kind) for n, kind in values]
 
 
 SHARED = PACKED + ", frequency binary"
@@ -173,25 +172,25 @@ def count_frequencies(parts: int):
     columns = ["part", "keys", "sizes", "counts", "shingles", "frequency"]
 
     def run(rows: pa.Table) -> pa.Table:
-        key, size, (shingles,) = _unpacked(rows, [("shingles", "<u8")])
-        order = np.lexsort((key[:, 1], key[:, 0], shingles))
-        key, size, shingles = key[order], size[order], shingles[order]
-        fresh = np.ones(len(key), bool)  # a set may have come from several tasks
-        fresh[1:] = other(key) | (np.diff(shingles.view("<i8")) != 0)
-        key, size, shingles = key[fresh], size[fresh], shingles[fresh]
+        key, size, owner, (shingles,) = _unpacked(rows, [("shingles", "<u8")])
+        order = np.lexsort((owner, shingles))
+        owner, shingles = owner[order], shingles[order]
+        fresh = np.ones(len(owner), bool)  # a set may have come from several tasks
+        fresh[1:] = (np.diff(owner) != 0) | (np.diff(shingles.view("<i8")) != 0)
+        owner, shingles = owner[fresh], shingles[fresh]
         starts = np.flatnonzero(np.diff(shingles.view("<i8"), prepend=~shingles[:1].view("<i8")))
-        frequency = np.repeat(np.diff(np.append(starts, len(key))), np.diff(np.append(starts, len(key)))).astype("<i8")
+        times = np.diff(np.append(starts, len(owner)))
+        frequency = np.repeat(times, times).astype("<i8")
         shared = frequency > 1
-        key, size, shingles, frequency = key[shared], size[shared], shingles[shared], frequency[shared]
-        if not len(key):
+        owner, shingles, frequency = owner[shared], shingles[shared], frequency[shared]
+        if not len(owner):
             return pa.table({n: pa.array([], pa.int32() if n == "part" else pa.binary()) for n in columns})
-        order = np.lexsort((key[:, 1], key[:, 0]))
-        key, size, shingles, frequency = key[order], size[order], shingles[order], frequency[order]
-        new = np.append(True, other(key))
-        owner = np.cumsum(new) - 1
-        found = packed(part_of(np.ascontiguousarray(key[:, 0]), parts), owner, [shingles, frequency], key[new], size[new], parts)
+        order = np.argsort(owner, kind="stable")
+        owner, shingles, frequency = owner[order], shingles[order], frequency[order]
+        part = part_of(np.ascontiguousarray(key[:, 0]), parts)[owner]
+        found = packed(part, owner, [shingles, frequency], key, size, parts)
         made = pa.Table.from_batches([_rows(list(found), columns)])
-        del key, size, shingles, frequency, order, new, owner, found
+        del key, size, owner, shingles, frequency, order, part, found
         give_back()
         return made
 
@@ -210,19 +209,19 @@ def find_prefixes(percent: int):
     """Sets whose prefix has shared shingles: all shared shingles, the prefix, its first place, the home."""
 
     def run(rows: pa.Table) -> pa.Table:
-        key, size, (shingles, frequency) = _unpacked(rows, [("shingles", "<u8"), ("frequency", "<i8")])
-        order = np.lexsort((shingles, frequency, key[:, 1], key[:, 0]))
-        key, size, shingles = key[order], size[order], shingles[order]
-        starts = np.flatnonzero(np.append(np.ones(min(len(key), 1), bool), other(key)))
-        stops = np.append(starts[1:], len(key))
+        key, size, owner, (shingles, frequency) = _unpacked(rows, [("shingles", "<u8"), ("frequency", "<i8")])
+        order = np.lexsort((shingles, frequency, owner))
+        owner, shingles = owner[order], shingles[order]
+        starts = np.flatnonzero(np.diff(owner, prepend=-1))
+        stops = np.append(starts[1:], len(owner))
         out: list[list] = [[], [], [], [], [], []]
         for first, stop in zip(starts.tolist(), stops.tolist(), strict=True):
-            n = int(size[first])
+            n = int(size[owner[first]])
             alone = n - (stop - first)  # shingles of this set only come first in the order
             most = prefix_length(n, percent) - alone
             if most > 0:
                 prefix = shingles[first : min(stop, first + most)].view("<i8")
-                row = key[first].tobytes(), n, np.sort(shingles[first:stop]).tobytes(), prefix, alone, prefix[-1]
+                row = key[owner[first]].tobytes(), n, np.sort(shingles[first:stop]).tobytes(), prefix, alone, prefix[-1]
                 for column, value in zip(out, row, strict=True):
                     column.append(value)
         kinds = pa.binary(), pa.int32(), pa.binary(), pa.list_(pa.int64()), pa.int32(), pa.int64()

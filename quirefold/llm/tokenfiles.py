@@ -31,15 +31,13 @@ from ..session import new_run_dir
 from .eliasfano import EliasFano
 from .files import new_file, opened
 from .tables import stored, table, tasks
-from .tokens import byte_bpe, encoder
+from .tokens import MANY, byte_bpe, encoder
 
 FOOTER = struct.Struct("<QQQQQqI8s")
 MAGIC = b"QFTOKID1"
 MANIFEST = "file string, place bigint, n_docs bigint, n_ids bigint"
 INDEX = "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint"
 READ_DOCS = 2048
-#: bytes of text of a file, about
-FILE_BYTES = 32 << 20
 
 
 def footer(ids: int, ends: int, keys: int, docs: int, nulls: int, least: int, width: int) -> bytes:
@@ -50,14 +48,14 @@ def file_writer(folder: str, path: str, end_id: int, width: int):
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, lengths, keys, nulls = encoder(path), [], [], 0
+        encode, lengths, keys, nulls = encoder(path, MANY), [], [], 0
+        if max(encode.tokenizer.get_vocab_size(), end_id + 1) > 1 << (8 * width):
+            raise ValueError(f"ids do not fit into {width} bytes")
         file = None
         with new_file(folder, ".ids") as (name, out):
             for batch in batches:
                 for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                     ids = np.frombuffer(encode.ids(text.as_py()) + end, "<u4")
-                    if ids.max() >> (8 * width):
-                        raise ValueError(f"an id does not fit into {width} bytes")
                     out.write(ids.astype(f"<u{width}").tobytes())
                     lengths.append(len(ids))
                     if doc is None:
@@ -139,8 +137,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int
     width: bytes per id; 2 for vocabularies up to 65,536.
     """
     key = [F.col("doc_id"), F.crc32(F.coalesce("text", F.lit("")).cast("binary"))]
-    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    files = max(tasks(docs.sparkSession), -(-size // FILE_BYTES))
+    files = max(tasks(docs.sparkSession), docs.rdd.getNumPartitions())  # an input split is bounded
     dealt = docs.select("doc_id", "text").repartitionByRange(files, *key).sortWithinPartitions(*key)
     manifest = stored(dealt.mapInArrow(file_writer(folder, tokenizer, end_id, width), MANIFEST), "token-manifest")
     earlier = Window.orderBy("place").rowsBetween(Window.unboundedPreceding, -1)  # a row per file

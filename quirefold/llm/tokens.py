@@ -14,8 +14,9 @@ import os
 import re
 from array import array
 
-#: remembered words per worker process, about 200 bytes each; the older half is forgotten beyond it
-REMEMBERED = 400_000
+#: remembered words per worker process, about 200 bytes each; the older half is forgotten beyond it. MANY is
+#: for tasks that do nothing but encode
+REMEMBERED, MANY = 400_000, 1_200_000
 BATCH = 5000
 
 #: white space before a space: no safe cut there
@@ -36,11 +37,12 @@ def byte_alphabet() -> dict[int, int]:
     return {b: 256 + k for k, b in enumerate(others)}
 
 
-_encoders: dict[str, Encoder] = {}
+_encoders: dict[tuple[str, int], Encoder] = {}
 
 
 class Encoder:
-    def __init__(self, path: str):
+    def __init__(self, path: str, remembered: int = REMEMBERED):
+        self.remembered = remembered
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark has a worker per core already
         from tokenizers import Tokenizer
 
@@ -62,7 +64,7 @@ class Encoder:
         return array("I", [token.id for token in self.model.tokenize(written)]).tobytes()
 
     def learn(self, words: set[str]) -> None:
-        if len(self.recent) + len(words) > REMEMBERED // 2:
+        if len(self.recent) + len(words) > self.remembered // 2:
             self.older, self.recent = self.recent, {}
         missing, ended = [], []
 
@@ -106,11 +108,11 @@ class Encoder:
         return (self.encode([first])[0] if first else b"") + b"".join(found)
 
 
-def encoder(path: str) -> Encoder:
+def encoder(path: str, remembered: int = REMEMBERED) -> Encoder:
     """The encoder of this worker process for a tokenizer file."""
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
+    if (path, remembered) not in _encoders:
+        _encoders[path, remembered] = Encoder(path, remembered)
+    return _encoders[path, remembered]
 
 
 def byte_bpe() -> str:
