@@ -26,7 +26,15 @@ CLOSED_BY = {
     "body": {"head"},
 }
 
-TAG = re.compile(r"<(?:!--.*?(?:-->|\Z)|(/?)([a-zA-Z][^\s/>]*)([^>]*)>|[!?/][^>]*>)", re.DOTALL)
+# A comment, a tag or another declaration. A quoted value may hold ``>``; a quote that never ends is no quote.
+# Nothing is given back once matched, and an open end matches too: each character is looked at a bounded
+# number of times.
+TAG = re.compile(
+    r"""<(?:!--(?:-?>|.*?(?:--!?>|\Z))"""
+    r"""|(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*+)(?P<rest>(?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+')?+)*+)(?P<end>>|\Z)"""
+    r"""|[!?/][^>]*+(?P<other>>|\Z))""",
+    re.DOTALL,
+)
 NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
 PIECE = re.compile(r"[a-z]+")
 
@@ -71,14 +79,17 @@ def leaf_blocks(html: str | None) -> list[Block]:
         if tag is None:
             text_until(size, at)
             break
+        if "" in (tag["end"], tag["other"]):  # never closed: text to the page's end
+            text_until(size, at)
+            break
         text_until(tag.start(), at)
         at = tag.end()
-        name = (tag[2] or "").lower()
+        name = (tag["name"] or "").lower()
         if not name:
             continue
-        closing = bool(tag[1])
+        closing = bool(tag["close"])
         if name in SILENT_TAGS:
-            if not closing and not tag[3].endswith("/"):
+            if not closing and not tag["rest"].endswith("/"):
                 end = re.compile(rf"</{re.escape(name)}\b[^>]*>?", re.IGNORECASE).search(html, at)
                 at = end.end() if end else size
         elif name == "a":
@@ -99,7 +110,7 @@ def leaf_blocks(html: str | None) -> list[Block]:
                 while ends and stack and stack[-1][0] in ends:
                     stack.pop()
                 if name not in VOID_TAGS:
-                    values = " ".join(a or b or c for a, b, c in NAMED.findall(tag[3])) if tag[3] else ""
+                    values = " ".join(a or b or c for a, b, c in NAMED.findall(tag["rest"])) if tag["rest"] else ""
                     stack.append((name, tuple(sorted(set(PIECE.findall(values.lower()))))))
     close_block()
     return found

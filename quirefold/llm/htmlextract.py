@@ -5,8 +5,8 @@ and class, id and role names, and its text's length, links, ending and place. Th
 each feature and label and for each pair of neighbouring labels; it is trained by maximising the conditional
 likelihood of labelled pages, and a page is decoded by Viterbi.
 
-The labelled pages come from a bounded, hash-drawn sample of the table: LABELLED_PAGES of its pages
-that mark their article, and as many pages laid out anew from the sample's texts in the ways in which pages
+The labelled pages come from a bounded, hash-drawn sample of the table: those of LABELLED_PAGES different
+pages of at most LABELLED_CHARS characters that mark their article, and as many as LABELLED_PAGES pages laid out anew from the sample's texts in the ways in which pages
 mark article, menu, header, footer, sidebar, notice, advert, form and comments, or do not mark the article.
 """
 
@@ -24,7 +24,9 @@ from .htmlblocks import Block, leaf_blocks
 from .tables import table
 
 LABELLED_PAGES = 250
-#: a labelled page is taken from this many blocks and characters a block at most
+#: characters of a page that labels may be learned from; longer pages are extracted like all others
+LABELLED_CHARS = 200_000
+#: blocks that a labelled page gives at most
 TRAIN_BLOCKS = 120
 RIDGE = 0.02
 ROUNDS = 150
@@ -234,11 +236,32 @@ def layout(draw: random.Random, texts: list[str]) -> tuple[list[Block], list[int
     return [b._replace(text=b.text.lstrip(marker).strip() or "-") for b in blocks], labels
 
 
+def drawn_pages(pages: DataFrame, most: int) -> list[str]:
+    """The html of the ``most`` different pages of smallest hash, in that order.
+
+    The hashes alone are ranked, a share of them drawn by value first, so that few rows of numbers reach the
+    driver from each task; then those pages are fetched, none above LABELLED_CHARS. Equal pages count once.
+    """
+    hashed = pages.filter(F.char_length("html") <= LABELLED_CHARS).select("html", F.xxhash64("html").alias("h"))
+    n = hashed.agg(F.approx_count_distinct("h", 0.02)).first()[0]
+    # twice as many as wanted and some; a share that falls short all the same is followed by all
+    share = min(1.0, (2 * most + 100) / max(n, 1))
+    least = -(1 << 63)
+    smallest: list[int] = []
+    for upto in sorted({min((1 << 63) - 1, least + int(share * (1 << 64))), (1 << 63) - 1}):
+        few = hashed.filter(F.col("h") <= upto).select("h").distinct().orderBy("h").limit(most)
+        smallest = [row.h for row in few.collect()]
+        if len(smallest) == most:
+            break
+    if not smallest:
+        return []
+    fetched = hashed.filter(F.col("h").isin(smallest)).groupBy("h").agg(F.min("html").alias("html"))
+    return [row.html for row in sorted(fetched.collect())]
+
+
 def fit(pages: DataFrame, most: int = LABELLED_PAGES) -> Crf:
     """A model from at most so many pages of the table, and as many laid out from their texts."""
-    drawn = pages.filter("html is not null").select("page_id", "html", F.xxhash64("html").alias("h")).orderBy("h", "page_id")
-    html = [row.html for row in drawn.select("html", "h", "page_id").limit(most).select("html").collect()]
-    marked = [m for m in map(labelled_by_markup, html) if m]
+    marked = [m for m in map(labelled_by_markup, drawn_pages(pages, most)) if m]
     texts = [b.text for blocks, _ in marked for b in blocks if len(b.text) > 20] or ["text " * 20]
     draw = random.Random(20)
     return train(marked + [layout(draw, texts) for _ in range(most)])

@@ -4,6 +4,7 @@ import base64
 import hashlib
 import random
 import re
+import time
 
 import duckdb
 import pytest
@@ -183,6 +184,51 @@ def test_leaf_blocks():
     assert leaf_blocks("<script>never closed")[0:] == []
 
 
+def test_quoted_values_and_open_tags():
+    def texts(html):
+        return [b.text for b in leaf_blocks(html)]
+
+    assert texts("""<p title="a > b">hello</p><p title='x > "y"' class=z>you""") == ["hello", "you"]
+    assert leaf_blocks("""<div title=">" class='note > big'><p>x""")[0].path[0] == ("div", ("big", "note"))
+    assert texts("<p it's=1>one</p><p>don't</p>") == ["one", "don't"]
+    assert texts('<p title="never closed>text</p><p>more</p>') == ["text", "more"]
+    assert texts("<p>a</p><!--> b --> c") == ["a", "b --> c"]
+    assert texts("<p>a</p><!-- x > --!>c") == ["a", "c"]
+    assert texts("<p>a</p><a b") == ["a", "<a b"] and texts("a <! b") == ["a <! b"]
+    assert texts("1 < 2 and 3 <= 4<p>x") == ["1 < 2 and 3 <= 4", "x"]
+
+
+@pytest.mark.parametrize("piece", ["<a ", "<a x=", '<a x="', "<a x='\"", "<!", "</", "<a", "=\"<", "<!--", "<a class=' "])
+def test_parse_time_is_linear(piece):
+    def seconds(n):
+        begun = time.perf_counter()
+        leaf_blocks(piece * n)
+        return time.perf_counter() - begun
+
+    seconds(100)
+    assert seconds(200_000) < 2  # the time of a search at each piece would be minutes
+
+
+def test_the_sample_takes_equal_pages_once_and_no_long_page(spark, monkeypatch):
+    monkeypatch.setattr(htmlextract, "LABELLED_CHARS", 50)
+    rows = [(k, "u", f"<p>{k % 40}") for k in range(400)] + [(500, "u", "x" * 51), (501, "u", None), (None, "u", "")]
+    rows += [(k, "u", "<p>copy") for k in range(600, 900)]
+    table = pages_of(spark, rows)
+    every = htmlextract.drawn_pages(table, 100)
+    assert sorted(every) == sorted({"", "<p>copy", *(f"<p>{k}" for k in range(40))})
+    assert htmlextract.drawn_pages(table.repartition(7), 10) == every[:10]
+    assert htmlextract.drawn_pages(pages_of(spark, []), 10) == []
+
+
+def test_repeated_long_and_wide_pages(spark, model):
+    long = "<article>" + "<p>A sentence of the article, with words.</p>" * 20_000 + "</article>"
+    rows = [(1, "u", long), (1, "u", long), (2, "u", "<article><p>Whole text here.</p></article>")]
+    wide = pages_of(spark, rows).selectExpr("'t' as text", "1 as n_chars", "*", "2 as h")
+    found = htmlextract.extract(wide, model).collect()
+    assert [r.page_id for r in found] == [1, 1, 2] and found[0] == found[1]
+    assert found[0].text.count("\n") > 19_000 and found[0].n_chars == len(found[0].text)
+
+
 @pytest.fixture(scope="module")
 def model(spark):
     return htmlextract.fit(spark.read.parquet(f"{SMALL}/pages.parquet"))
