@@ -11,8 +11,9 @@ from pyspark.sql import types as T
 
 from ..functions import instants
 from ..operators import audit, compare, dedup, fold, ingest, reads, validate
-from ..schemas import LEDGER_KEY, PAGE_KEY, REBUILD_LOG, VALID, stored_at
+from ..schemas import LEDGER_KEY, PAGE_EVENTS, PAGE_KEY, PAGE_STATE, REBUILD_LOG, VALID, stored_at
 from ..session import configure, new_run_dir
+from ..sinks import layouts
 from ..sinks.event_logs import EventLogs, append_raw_log, publish_counted, published_counts
 from ..sinks.page_state import PageStateTable
 from ..sinks.rebuild_log import RebuildLog
@@ -284,6 +285,52 @@ def history_with_state(spark, sf_dir):
     return _zoneless(reads.history_with_state(_ledger(valid), fold.fold_pages(valid)))
 
 
+def _laid_out(spark, sf_dir, layout: type[layouts.Layout], size: int) -> layouts.Layout:
+    """The ledger in a layout, written in three batches by range of arrival."""
+    ledger = _ledger(_valid_table(spark, sf_dir))
+    found = layout(spark, new_run_dir(spark, "ledger-layout"), PAGE_EVENTS, size)
+    n = events_table(spark, sf_dir).agg(F.count("*")).scalar()
+    seq = F.col("ingest_seq")
+    for k, batch in enumerate((seq < n, (seq >= n) & (seq < 2 * n), seq >= 2 * n)):
+        found.append(ledger.filter(batch), "first", k)
+    return found
+
+
+def feed_stored(spark, sf_dir):
+    return _zoneless(layouts.feed(_laid_out(spark, sf_dir, layouts.ByTime, 30)))
+
+
+def events_per_min_stored(spark, sf_dir):
+    return layouts.events_per_minute(_laid_out(spark, sf_dir, layouts.ByTime, 30), _asof(spark, sf_dir))
+
+
+def page_history_stored(spark, sf_dir):
+    return _zoneless(layouts.page_history(_laid_out(spark, sf_dir, layouts.ByPage, 16), "enwiki", "page-7"))
+
+
+def page_lookup(spark, sf_dir):
+    events = _laid_out(spark, sf_dir, layouts.ByPage, 16)
+    state = layouts.ByPage(spark, new_run_dir(spark, "state-layout"), PAGE_STATE, 16)
+    state.append(fold.fold_pages(_valid(spark, sf_dir)), "first", 0)
+    return _zoneless(layouts.page_lookup(events, state, "enwiki", "page-7"))
+
+
+def editors_by_day(spark, sf_dir):
+    """Editors of each day and, in the row without a day, of all: the exact count, and whether merged
+    sketches keep their error bound."""
+    ledger = _ledger(_valid_table(spark, sf_dir))
+    path = new_run_dir(spark, "editor-sketches")
+    reads.editor_sketches(ledger).write.parquet(path)
+    sketches = spark.read.parquet(path)
+    every = reads.editors_in(sketches, F.col("day")).unionAll(
+        reads.editors_in(sketches).select(F.lit(None).cast("date"), "editors_estimate")
+    )
+    both = reads.editors_by_day(ledger).alias("e").join(every.alias("s"), F.expr("e.day <=> s.day"))
+    off = F.abs(F.col("editors_estimate") - F.col("editors"))
+    within = off <= F.greatest(F.lit(1), F.ceil(F.col("editors") * reads.SKETCH_ERROR))
+    return both.select("e.day", "editors", within.alias("sketch_within_bound"))
+
+
 # --- comparison ---
 def _two_states(spark, sf_dir):
     """State of the accepted events, and state of all."""
@@ -514,6 +561,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         page_history,
         page_current,
         history_with_state,
+        feed_stored,
+        events_per_min_stored,
+        page_history_stored,
+        page_lookup,
+        editors_by_day,
         discrepancy,
         set_diff_rows,
         set_diff_keys,

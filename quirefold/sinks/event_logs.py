@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from datetime import datetime, timezone
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,6 +31,7 @@ from ..schemas import (
     stored_at,
 )
 from . import files
+from .layouts import Layout
 
 
 #: equal copies of a record that are written out from one row
@@ -37,10 +39,13 @@ COPIES = 10_000
 
 
 class EventLogs:
-    """The three tables under one root."""
+    """The three tables under one root, and copies of the ledger in other layouts."""
 
-    def __init__(self, spark: SparkSession, root: str, revisions_per_range: int = 10_000_000):
+    def __init__(
+        self, spark: SparkSession, root: str, revisions_per_range: int = 10_000_000, layouts: tuple[Layout, ...] = ()
+    ):
         self.spark = spark
+        self.layouts = layouts
         self.root = root.rstrip("/")
         self.revisions_per_range = revisions_per_range
         self.valid_path = f"{self.root}/valid"
@@ -99,7 +104,16 @@ class EventLogs:
         earlier = _of_other_batches(self.page_events(), events, run_id, batch_id)
         first = not_yet_in(first_arrival(events, LEDGER_KEY), earlier, LEDGER_KEY)
         placed = to_page_events(first, ingested_at).withColumn("rev_range", self._range_of("revision_id"))
-        _write_ranges(placed, self.page_events_path, "occurred_at", run_id, batch_id)
+        if self.layouts:
+            placed = placed.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            # the copies first: a batch that fails before the ledger is written finds its revisions new again
+            for layout in self.layouts:
+                layout.append(placed, run_id, batch_id)
+            _write_ranges(placed, self.page_events_path, "occurred_at", run_id, batch_id)
+        finally:
+            if self.layouts:
+                placed.unpersist()
 
     def _range_of(self, revision_id: str) -> Column:
         return F.expr(f"{revision_id} div {self.revisions_per_range}")

@@ -24,6 +24,13 @@ def delete(spark: SparkSession, path: str) -> None:
     _fs(spark, path).delete(_path(spark, path), True)
 
 
+def delete_matching(spark: SparkSession, pattern: str) -> None:
+    """Delete what lies under a path with wildcards."""
+    found = _fs(spark, pattern).globStatus(_path(spark, pattern))
+    for status in found or []:
+        delete(spark, status.getPath().toString())
+
+
 def partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
     """Values of a partition column, from the names of its directories."""
     names = [status.getPath().getName() for status in _fs(spark, path).listStatus(_path(spark, path))]
