@@ -2,8 +2,8 @@
 
 Each batch owns the directories ``run_id=R/batch_id=N``, in valid log and ledger one below each
 range of revision ids it has events in. A batch that is repeated after a failure writes the
-same rows over them, so every record counts once. Looking for earlier copies of a revision
-reads the batch's ranges only: the earlier rows are semi-joined on the range, their partition column.
+same rows over them, so every record counts once. Whether a revision came before is read from
+bitmaps (``seen``); earlier rows of the valid log are read only in ranges in which a revision did.
 """
 
 from __future__ import annotations
@@ -32,8 +32,12 @@ from ..schemas import (
 )
 from . import files
 from .layouts import Layout
+from .ranges import of_other_batches, read_all, read_ranges_of, write_ranges
+from .seen import SeenRevisions
 
 
+#: batches after which bitmaps that many of them added to are merged
+MERGE_EVERY = 32
 #: equal copies of a record that are written out from one row
 COPIES = 10_000
 
@@ -51,90 +55,96 @@ class EventLogs:
         self.valid_path = f"{self.root}/valid"
         self.deadletter_path = f"{self.root}/deadletter"
         self.page_events_path = f"{self.root}/page_events"
+        self.valid_seen = SeenRevisions(spark, f"{self.root}/valid_seen")
+        self.page_events_seen = SeenRevisions(spark, f"{self.root}/page_events_seen")
 
     # --- reads ---
     def valid(self) -> DataFrame:
-        return self._read(self.valid_path, VALID_STORED)
+        return read_all(self.spark, self.valid_path, VALID_STORED)
 
     def deadletter(self) -> DataFrame:
-        return self._read(self.deadletter_path, stored_at(DEADLETTER, RUN_ID, BATCH_ID))
+        return read_all(self.spark, self.deadletter_path, stored_at(DEADLETTER, RUN_ID, BATCH_ID))
 
     def page_events(self) -> DataFrame:
-        return self._read(self.page_events_path, stored_at(PAGE_EVENTS, REV_RANGE, RUN_ID, BATCH_ID))
+        return read_all(self.spark, self.page_events_path, stored_at(PAGE_EVENTS, REV_RANGE, RUN_ID, BATCH_ID))
 
-    def _read(self, path: str, schema) -> DataFrame:
-        if not files.exists(self.spark, path):
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(path)
+    def index_missing(self) -> None:
+        """Complete the bitmaps; a stream does so when it starts."""
+        for seen, stored in ((self.valid_seen, self.valid().filter("first_arrival")), (self.page_events_seen, self.page_events())):
+            seen.index_missing(stored)
 
     # --- writes ---
     def write_batch(self, classified: DataFrame, run_id: str, batch_id: int, ingested_at: Column) -> None:
         """Write all three outputs of one classified batch. The caller has persisted it."""
         self.write_deadletter(dead_letters(classified), run_id, batch_id)
         events = valid_events(classified).withColumn("rev_range", self._range_of("revision_id"))
-        self.write_valid(events, run_id, batch_id)
-        self.append_ledger(events, run_id, batch_id, ingested_at)
+        events = events.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            self.write_valid(events, run_id, batch_id)
+            self.append_ledger(events, run_id, batch_id, ingested_at)
+        finally:
+            events.unpersist()
+        if batch_id % MERGE_EVERY == MERGE_EVERY - 1:
+            self.valid_seen.merge()
+            self.page_events_seen.merge()
 
     def write_deadletter(self, dead: DataFrame, run_id: str, batch_id: int) -> None:
         dead.write.mode("overwrite").parquet(f"{self.deadletter_path}/run_id={run_id}/batch_id={batch_id}")
 
     def write_valid(self, events: DataFrame, run_id: str, batch_id: int) -> None:
         """Append valid events, copies included; exactly one of each page and revision is marked."""
-        earlier = _of_other_batches(self.valid(), events, run_id, batch_id).filter("first_arrival")
-        first = not_yet_in(first_arrival(events, FOLD_KEY), earlier, FOLD_KEY)
-        rest = [c for c in events.columns if c not in FOLD_KEY and c != "ingest_seq"]
-        marks = first.select(*FOLD_KEY, "ingest_seq", F.struct(*rest).alias("_first"))
-        # equal copies as one row with their number: one of them is marked; joining on the sequence
-        # too, copies of one revision do not meet in one task
-        copies = events.groupBy(*events.columns).agg(F.count("*").alias("_copies"))
-        is_first = F.col("_first").isNotNull() & F.struct(*rest).eqNullSafe(F.col("_first"))
-        marked = (
-            copies.join(marks, [*FOLD_KEY, "ingest_seq"], "left")
-            # in chunks, so that no array holds all copies of a record that floods the log
-            .select("*", F.explode(F.expr(f"sequence(0L, (_copies - 1) div {COPIES})")).alias("_chunk"))
-            .withColumn("_here", F.least(F.lit(COPIES).cast("bigint"), F.col("_copies") - F.col("_chunk") * COPIES))
-            .select("*", F.explode(F.sequence(F.lit(1).cast("bigint"), "_here")).alias("_copy"))
-            .withColumn("first_arrival", is_first & (F.col("_chunk") == 0) & (F.col("_copy") == 1))
-        )
-        out = marked.select(*VALID.fieldNames(), "first_arrival", "rev_range")
-        _write_ranges(out, self.valid_path, "occurred_ts", run_id, batch_id)
+        found = first_arrival(events, FOLD_KEY)
+        told = self.valid_seen.mark(found, run_id, batch_id).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            # a page and revision can only have come before if the wiki's revision has
+            stored = read_ranges_of(self.spark, self.valid_path, VALID_STORED, told.filter("_seen"))
+            earlier = of_other_batches(stored, run_id, batch_id).filter("first_arrival")
+            first = not_yet_in(told.drop("_seen"), earlier, FOLD_KEY).persist(StorageLevel.MEMORY_AND_DISK)
+            try:
+                marked = _marked(events, first)
+                write_ranges(marked, self.valid_path, run_id, batch_id, *PAGE_KEY, "occurred_ts")
+                self.valid_seen.add(first, run_id, batch_id)
+            finally:
+                first.unpersist()
+        finally:
+            told.unpersist()
 
     def append_ledger(self, events: DataFrame, run_id: str, batch_id: int, ingested_at: Column) -> None:
         """Insert events whose revision the ledger does not hold yet; the first to arrive wins."""
-        earlier = _of_other_batches(self.page_events(), events, run_id, batch_id)
-        first = not_yet_in(first_arrival(events, LEDGER_KEY), earlier, LEDGER_KEY)
+        found = self.page_events_seen.mark(first_arrival(events, LEDGER_KEY), run_id, batch_id)
+        first = found.filter("NOT _seen").drop("_seen")
         placed = to_page_events(first, ingested_at).withColumn("rev_range", self._range_of("revision_id"))
-        if self.layouts:
-            placed = placed.persist(StorageLevel.MEMORY_AND_DISK)
+        placed = placed.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             # the copies first: a batch that fails before the ledger is written finds its revisions new again
             for layout in self.layouts:
                 layout.append(placed, run_id, batch_id)
-            _write_ranges(placed, self.page_events_path, "occurred_at", run_id, batch_id)
+            write_ranges(placed, self.page_events_path, run_id, batch_id, *PAGE_KEY, "occurred_at")
+            self.page_events_seen.add(placed, run_id, batch_id)
         finally:
-            if self.layouts:
-                placed.unpersist()
+            placed.unpersist()
 
     def _range_of(self, revision_id: str) -> Column:
         return F.expr(f"{revision_id} div {self.revisions_per_range}")
 
 
-def _of_other_batches(table: DataFrame, events: DataFrame, run_id: str, batch_id: int) -> DataFrame:
-    """Stored rows in the events' ranges; what a repeated batch wrote the first time is not 'earlier'."""
-    others = table.filter((F.col("run_id") != run_id) | (F.col("batch_id") != batch_id))
-    return others.join(events.select("rev_range").distinct(), "rev_range", "left_semi")
-
-
-def _write_ranges(rows: DataFrame, path: str, event_time: str, run_id: str, batch_id: int) -> None:
-    """Write a batch's rows, replacing the directories it wrote before if it is a repetition.
-
-    Rebalanced by range: small ranges share a task, a large one is split over several.
-    """
-    placed = rows.withColumn("run_id", F.lit(run_id)).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-    ordered = placed.hint("rebalance", F.col("rev_range")).sortWithinPartitions("rev_range", *PAGE_KEY, event_time)
-    ordered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-        "rev_range", "run_id", "batch_id"
-    ).parquet(path)
+def _marked(events: DataFrame, first: DataFrame) -> DataFrame:
+    """All events, copies included, with the mark of those that are first arrivals."""
+    rest = [c for c in events.columns if c not in FOLD_KEY and c != "ingest_seq"]
+    marks = first.select(*FOLD_KEY, "ingest_seq", F.struct(*rest).alias("_first"))
+    # equal copies as one row with their number: one of them is marked; joining on the sequence
+    # too, copies of one revision do not meet in one task
+    copies = events.groupBy(*events.columns).agg(F.count("*").alias("_copies"))
+    is_first = F.col("_first").isNotNull() & F.struct(*rest).eqNullSafe(F.col("_first"))
+    marked = (
+        copies.join(marks, [*FOLD_KEY, "ingest_seq"], "left")
+        # in chunks, so that no array holds all copies of a record that floods the log
+        .select("*", F.explode(F.expr(f"sequence(0L, (_copies - 1) div {COPIES})")).alias("_chunk"))
+        .withColumn("_here", F.least(F.lit(COPIES).cast("bigint"), F.col("_copies") - F.col("_chunk") * COPIES))
+        .select("*", F.explode(F.sequence(F.lit(1).cast("bigint"), "_here")).alias("_copy"))
+        .withColumn("first_arrival", is_first & (F.col("_chunk") == 0) & (F.col("_copy") == 1))
+    )
+    return marked.select(*VALID.fieldNames(), "first_arrival", "rev_range")
 
 
 def append_topic(records: DataFrame, servers: str, topic: str) -> None:

@@ -24,6 +24,7 @@ def start_validation(
     ``drain`` processes what the raw log holds now and stops.
     """
     run_id = _run_id(spark, checkpoint)
+    logs.index_missing()
 
     def write(batch: DataFrame, batch_id: int) -> None:
         # one parse for the three outputs; a lost block is computed again from the source
