@@ -20,14 +20,21 @@ def events_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
 
 
-def spread(table: DataFrame, key: str) -> DataFrame:
-    """A table that is read in fewer splits than there are cores, spread over the cores.
+#: rows that one task parses, about
+ROWS_PER_TASK = 250_000
 
-    The rows are about to be parsed, which is worth more than this shuffle of a small file. A
-    large table has splits enough and is left as it is.
+
+def spread(table: DataFrame) -> DataFrame:
+    """A table dealt over all cores, and over more tasks once they would get more than ROWS_PER_TASK rows.
+
+    The rows are about to be parsed, which is worth more than this shuffle of short columns. The number of
+    splits does not tell how they lie: a row group goes to one split as a whole, so that a file of one row
+    group is read by one task however many splits it has. Counting reads file footers only. Rows are dealt in
+    turn and not by a key, which may be null or repeat.
     """
     cores = table.sparkSession.sparkContext.defaultParallelism
-    return table.repartition(cores, key) if table.rdd.getNumPartitions() < cores else table
+    waves = -(-table.count() // (cores * ROWS_PER_TASK))
+    return table.repartition(cores * max(waves, 1))
 
 
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -45,7 +52,7 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(eid % 10 == 1, copy(arrival + F.col("n"), "page-")),
         F.when(eid % 100 == 12, copy(arrival + 2 * F.col("n"), "moved-")),
     )
-    rows = spread(events, "event_id").withColumn("n", total).select("*", F.inline(F.array_compact(copies)))
+    rows = spread(events).withColumn("n", total).select("*", F.inline(F.array_compact(copies)))
 
     fault = eid % 40
     delta = F.floor(F.col("value") * 100).cast("bigint") % 2000 - 1000
@@ -86,7 +93,7 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def lineitem_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The larger `lineitem` table as valid events, for timing: its revisions repeat with
     different contents, so which copy comes first is not defined."""
-    lines = spread(spark.read.parquet(f"{sf_dir}/lineitem.parquet"), "l_orderkey")
+    lines = spread(spark.read.parquet(f"{sf_dir}/lineitem.parquet"))
     quantity = F.round("l_quantity").cast("int")
     return lines.select(
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("ingest_seq"),

@@ -10,7 +10,7 @@ from quirefold.operators import dedup, fold, ingest, reads, validate
 from quirefold.plans.queries import QUERIES
 from quirefold.schemas import LEDGER_KEY
 from quirefold.sinks import event_logs
-from quirefold.sources.testdata import raw_events
+from quirefold.sources.testdata import events_table, raw_events
 from support import valid
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -222,3 +222,28 @@ def test_a_delivery_that_fails_is_counted(spark, shared):
         event_logs.publish_counted(broken, path)
     found = event_logs.published_counts(spark, path).orderBy("delivery").drop("published_at").collect()
     assert [tuple(r) for r in found] == [(1, 3, 2, 2, 0), (2, 3, 2, 0, 2)]
+
+
+def test_records_are_dealt_over_the_tasks_whatever_row_groups_they_lie_in(spark, shared):
+    """A file of one row group and many splits, which one task reads; half of its ids are null."""
+    n = 20_000
+    rows = spark.range(n).selectExpr(
+        "if(id % 2 = 0, NULL, id) AS event_id",
+        "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, id) AS ts",
+        "id % 50 AS user_id",
+        "'view' AS event_type",
+        "id / 100 AS value",
+        "concat('{\"k\": ', id % 7, '}') AS props",
+    )
+    rows.coalesce(1).write.parquet(f"{shared}/events.parquet")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1k")
+    try:
+        table = events_table(spark, shared)
+        assert table.rdd.getNumPartitions() > 8
+        assert table.groupBy(F.spark_partition_id()).count().count() == 1
+        dealt = raw_events(spark, shared).groupBy(F.spark_partition_id()).count().agg(F.sum("count"), F.max("count")).first()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert dealt[0] == n + n // 10 and dealt[1] < n / 8 * 1.3
