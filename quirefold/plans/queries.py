@@ -285,9 +285,12 @@ def history_with_state(spark, sf_dir):
     return _zoneless(reads.history_with_state(_ledger(valid), fold.fold_pages(valid)))
 
 
-def _laid_out(spark, sf_dir, layout: type[layouts.Layout], size: int) -> layouts.Layout:
-    """The ledger in a layout, written in three batches by range of arrival."""
-    ledger = _ledger(_valid_table(spark, sf_dir))
+def _laid_out(spark, sf_dir, valid: DataFrame, layout: type[layouts.Layout], size: int) -> layouts.Layout:
+    """The ledger of the valid log in a layout, written in three batches by range of arrival."""
+    # stored once: cut by arrival, each batch would take the first arrivals of the whole log again
+    path = new_run_dir(spark, "ledger")
+    _ledger(valid).write.parquet(path)
+    ledger = logs.table(spark, path, PAGE_EVENTS)
     found = layout(spark, new_run_dir(spark, "ledger-layout"), PAGE_EVENTS, size)
     n = events_table(spark, sf_dir).agg(F.count("*")).scalar()
     seq = F.col("ingest_seq")
@@ -297,21 +300,25 @@ def _laid_out(spark, sf_dir, layout: type[layouts.Layout], size: int) -> layouts
 
 
 def feed_stored(spark, sf_dir):
-    return _zoneless(layouts.feed(_laid_out(spark, sf_dir, layouts.ByTime, 30)))
+    events = _laid_out(spark, sf_dir, _valid_table(spark, sf_dir), layouts.ByTime, 30)
+    return _zoneless(layouts.feed(events))
 
 
 def events_per_min_stored(spark, sf_dir):
-    return layouts.events_per_minute(_laid_out(spark, sf_dir, layouts.ByTime, 30), _asof(spark, sf_dir))
+    events = _laid_out(spark, sf_dir, _valid_table(spark, sf_dir), layouts.ByTime, 30)
+    return layouts.events_per_minute(events, _asof(spark, sf_dir))
 
 
 def page_history_stored(spark, sf_dir):
-    return _zoneless(layouts.page_history(_laid_out(spark, sf_dir, layouts.ByPage, 16), "enwiki", "page-7"))
+    events = _laid_out(spark, sf_dir, _valid_table(spark, sf_dir), layouts.ByPage, 16)
+    return _zoneless(layouts.page_history(events, "enwiki", "page-7"))
 
 
 def page_lookup(spark, sf_dir):
-    events = _laid_out(spark, sf_dir, layouts.ByPage, 16)
+    valid = _valid_table(spark, sf_dir)
+    events = _laid_out(spark, sf_dir, valid, layouts.ByPage, 16)
     state = layouts.ByPage(spark, new_run_dir(spark, "state-layout"), PAGE_STATE, 16)
-    state.append(fold.fold_pages(_valid(spark, sf_dir)), "first", 0)
+    state.append(fold.fold_pages(valid), "first", 0)
     return _zoneless(layouts.page_lookup(events, state, "enwiki", "page-7"))
 
 

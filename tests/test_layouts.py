@@ -6,11 +6,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from quirefold.operators import dedup, fold, reads, validate
+from quirefold.plans import queries
 from quirefold.schemas import LEDGER_KEY, PAGE_EVENTS, PAGE_STATE
 from quirefold.sinks import layouts
 from quirefold.sinks.event_logs import EventLogs
 from support import raw, text, valid
 
+SF_DIR = "/root/testdata/sf0.001"
 START = 1_767_225_600
 ROWS = [(i, f"p{i % 7}", i, f"e{i % 4}", 1, i % 5) for i in range(200)]
 
@@ -137,3 +139,21 @@ def test_editor_sketches_keep_their_bound(spark):
     assert found.keys() == exact.keys() and exact[None] == 20_000
     assert all(abs(found[day] - n) <= reads.SKETCH_ERROR * n for day, n in exact.items())
     assert reads.editors_in(reads.editor_sketches(ledger.limit(0))).first().editors_estimate == 0
+
+
+def test_a_lookup_parses_the_log_once_and_takes_first_arrivals_once(spark, monkeypatch):
+    parsed, batches = [], []
+    read, append = queries.raw_events, layouts.Layout.append
+    monkeypatch.setattr(queries, "raw_events", lambda *of: parsed.append(of) or read(*of))
+
+    def noted(layout, rows, run_id, batch_id):
+        batches.append((layout.schema, rows._jdf.queryExecution().executedPlan().toString()))
+        append(layout, rows, run_id, batch_id)
+
+    monkeypatch.setattr(layouts.Layout, "append", noted)
+    assert queries.page_lookup(spark, SF_DIR).count() > 0
+    assert len(parsed) == 1
+    of_events = [text for schema, text in batches if schema == PAGE_EVENTS]
+    assert len(of_events) == 3
+    # nothing is grouped by a key any more; the count of events that cuts the batches has none
+    assert not any(re.search(r"Aggregate\(keys?=\[[^\]]", text) for text in of_events)
