@@ -17,7 +17,7 @@ ANY_FORM = (
 )
 # groups of ANY_FORM
 YEAR, MONTH, DAY, BASIC_MONTH, BASIC_DAY, WEEK, WEEKDAY, BASIC_WEEK, BASIC_WEEKDAY = range(1, 10)
-TIME, SIGN, OFFSET = 10, 17, 18
+TIME, SIGN, OFFSET, GROUPS = 10, 17, 18, 24
 
 # 0001-01-01T00:00:00Z and 9999-12-31T23:59:59Z in epoch seconds
 FIRST_SECOND = -62135596800
@@ -37,9 +37,17 @@ def parse_iso(text: Column) -> Column:
 
 
 def _by_fields(text: Column) -> Column:
+    # one match writes all groups out: matched again for every group, the expression is too large to be compiled
+    written = F.regexp_replace(text, ANY_FORM, ",".join(f"${n}" for n in range(1, GROUPS + 1)))
+    return F.transform(F.array(F.split(written, ",", -1)), _of_groups)[0]
+
+
+def _of_groups(groups: Column) -> Column:
+    """The instant from the groups of ANY_FORM; those that took no part are empty."""
+
     def group(*numbers: int) -> Column:
         """The first of the groups that took part, as text."""
-        return F.coalesce(*(F.nullif(F.regexp_extract(text, ANY_FORM, n), F.lit("")) for n in numbers))
+        return F.coalesce(*(F.when(groups[n - 1] != "", groups[n - 1]) for n in numbers))
 
     def number(*numbers: int) -> Column:
         return group(*numbers).cast("int")

@@ -22,10 +22,10 @@ def is_single_value(wrapped: Column, text: Column) -> Column:
     the brackets that can only hide trailing text if the text brings a ``]`` of its
     own; such text must also parse as a member of an object.
     """
-    first = F.try_variant_get(wrapped, "$[0]", "variant")
     second = F.try_variant_get(wrapped, "$[1]", "variant")
     as_member = F.try_parse_json(F.concat(F.lit('{"x":'), text, F.lit("}")))
-    alone = first.isNotNull() & second.isNull()
+    # a first value is there unless the brackets hold white space alone; reading it would copy the whole value
+    alone = wrapped.isNotNull() & ~text.rlike(r"^[ \t\n\r]*(\]|\z)") & second.isNull()
     exact = F.when(F.contains(text, F.lit("]")), alone & as_member.isNotNull()).otherwise(alone)
     return F.coalesce(exact, F.lit(False))
 

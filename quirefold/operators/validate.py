@@ -71,7 +71,9 @@ def _is_long(name: str) -> Column:
 def _normalize(read: DataFrame, kept: list[str]) -> DataFrame:
     """Columns of the reads above to one column ``_event``.
 
-    In three small steps: one large step compiles to a method the JVM will not optimize.
+    In three small steps: one large step compiles to a method the JVM will not optimize. They are plain
+    projections, which Spark keeps apart since their columns are used more than once; a generator of a large
+    expression is interpreted where the step is not compiled as a whole.
     """
     c = F.col
     # a text in meta.dt counts if it is not empty, anything else there if it is not 'nothing'
@@ -80,39 +82,27 @@ def _normalize(read: DataFrame, kept: list[str]) -> DataFrame:
     texts_present = [F.coalesce(c(name) != "", F.lit(False)) for name in ("wiki", "page_title", "editor")]
     checked = read.select(
         *kept,
-        F.inline(
-            F.array(
-                F.struct(
-                    c("is_json"),
-                    c("is_object"),
-                    c("kind"),
-                    (texts_present[0] & texts_present[1] & texts_present[2]).alias("has_texts"),
-                    c("wiki"),
-                    c("page_title"),
-                    c("editor"),
-                    F.when(_is_long("rev"), c("rev")).alias("rev"),
-                    (_is_long("new") & (~has_old | _is_long("old"))).alias("has_lengths"),
-                    # NULL on 64-bit overflow, which is out of bounds too
-                    F.try_subtract(c("new"), F.when(has_old, c("old")).otherwise(F.lit(0))).alias("delta"),
-                    F.when(dt_given, c("dt")).alias("dt"),
-                    dt_given.alias("dt_given"),
-                    F.coalesce(J.is_number_type(c("ts_type")), F.lit(False)).alias("has_timestamp"),
-                    F.when(~dt_given, c("ts")).alias("ts"),
-                )
-            )
-        ),
+        c("is_json"),
+        c("is_object"),
+        c("kind"),
+        (texts_present[0] & texts_present[1] & texts_present[2]).alias("has_texts"),
+        c("wiki"),
+        c("page_title"),
+        c("editor"),
+        F.when(_is_long("rev"), c("rev")).alias("rev"),
+        (_is_long("new") & (~has_old | _is_long("old"))).alias("has_lengths"),
+        # NULL on 64-bit overflow, which is out of bounds too
+        F.try_subtract(c("new"), F.when(has_old, c("old")).otherwise(F.lit(0))).alias("delta"),
+        F.when(dt_given, c("dt")).alias("dt"),
+        dt_given.alias("dt_given"),
+        F.coalesce(J.is_number_type(c("ts_type")), F.lit(False)).alias("has_timestamp"),
+        F.when(~dt_given, c("ts")).alias("ts"),
     )
     epoch = instants.from_epoch(c("ts"))
     timed = checked.select(
         *[name for name in checked.columns if name not in ("dt", "ts")],
-        F.inline(
-            F.array(
-                F.struct(
-                    F.when(c("dt_given"), instants.parse_iso(c("dt"))).otherwise(epoch).alias("occurred_ts"),
-                    F.when(c("dt_given"), c("dt")).otherwise(instants.to_iso(epoch)).alias("occurred_at"),
-                )
-            )
-        ),
+        F.when(c("dt_given"), instants.parse_iso(c("dt"))).otherwise(epoch).alias("occurred_ts"),
+        F.when(c("dt_given"), c("dt")).otherwise(instants.to_iso(epoch)).alias("occurred_at"),
     )
     in_bounds = F.coalesce(c("delta").between(-MAX_ABS_BYTE_DELTA, MAX_ABS_BYTE_DELTA), F.lit(False))
     reason = (

@@ -256,3 +256,16 @@ def test_instants_are_those_of_the_iso_grammar(spark):
     wanted = {t: by_hand(t) for t in texts}
     assert sum(w is not None for w in wanted.values()) > 1500
     assert {t: (found[t], w) for t, w in wanted.items() if found[t] != w} == {}
+
+
+def test_validation_is_small_enough_to_be_compiled(spark):
+    """Only the last step is a generator, and an event time is matched once for all its groups."""
+    text_of = validate.classify(raw(spark, [text()]))._jdf.queryExecution().optimizedPlan().toString()
+    assert text_of.count("Generate ") == 1
+    assert text_of.count("regexp_extract(") == 0
+
+
+def test_brackets_and_white_space_are_no_json(spark):
+    values = ["", " \t\r\n", "]", " ],[1", "],5", "null", " 7 ", "7,8", '{"a":1}]', '"]"', None]
+    found = validate.classify(raw(spark, values)).orderBy("ingest_seq").select("reason").collect()
+    assert [r.reason == "invalid_json" for r in found] == [True] * 5 + [False, False, True, True, False, True]
