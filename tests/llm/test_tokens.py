@@ -9,7 +9,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from quirefold.llm import eliasfano, packing, tokenfiles
-from quirefold.llm.tokens import byte_bpe, encoder
+from quirefold.llm.tokens import Encoder, byte_bpe, encoder
 
 EDGE = ["", " ", "a", "  two  spaces", "line\n break \n x", "<|endoftext|> is a token", "hi <|endoftext|> there", "x<|endoftext|>,y <|endoftext|>", "é ß 中文 😀", "don't we'll", "word " * 5000]
 
@@ -130,3 +130,13 @@ def test_step_groups_are_balanced():
 
 def test_nothing_to_pack(docs):
     assert packing.pack(docs.limit(0), byte_bpe()).count() == 0
+
+
+def test_words_with_punctuation_and_line_feeds_take_the_short_way():
+    encode = Encoder(byte_bpe())
+    texts = ["Start les&&& an.\nSur%%% été,\nLE!! end.", "don't a's x\n\ny z\r\nw <|endoftext|> a<|endoftext|>b ²x tab\tc", "one\ntwo"]
+    assert [encode.ids(t) for t in texts] == [encode.encode([t])[0] for t in texts]
+    asked = []
+    slow, encode.encode = encode.encode, lambda some: asked.extend(some) or slow(some)
+    encode.ids("Begin les&&& in.\nOn%%% oté,\nla!! fin.")
+    assert not asked  # the tails are known, the rest is letters
