@@ -3,7 +3,8 @@
 A document's set holds the hashes of its distinct five-word shingles (fewer words: the whole
 sequence). Two sets are linked at a Jaccard similarity of at least PERCENT / 100.
 
-1. Equal sets are one class; everything below is about classes. A set is named by 128 bits.
+1. Equal sets are one class; everything below is about classes. A set is named by 128 bits. The compressed texts
+   travel by name once, so that one task has all copies of a set and goes on with one of them.
 2. Every shingle's set frequency is counted. Shingles of one set link nothing; the others of a set, rarest
    first, give its prefix: two linked sets have a shingle in common that lies in both prefixes.
 3. A set's home is the most frequent shingle of its prefix. The sets of a home form blocks of bounded size, by
@@ -16,8 +17,9 @@ sequence). Two sets are linked at a Jaccard similarity of at least PERCENT / 100
    once: from those of the set before it, by what the two differ in, where that is less than the set
    itself. Sets are taken in the order of their smallest hashes, which similar sets have in common.
 
-Shingles travel in packed arrays, a row per task and shuffle partition, as rows of their own would cost
-several times the text. No step emits all pairs of a group: a block pair returns a spanning forest
+Shingles travel in packed arrays, a row per flush of a task and part, as rows of their own would cost
+several times the text. In a row a set is a number within its flush, written as its distance from the set before: about
+a byte a shingle, however many parts a set falls into. Names go once, beside the shingles. No step emits all pairs of a group: a block pair returns a spanning forest
 of its links and a number of links per set. A set is sent to as many pairs of blocks as its prefix's
 lists leave, not to all that they connect.
 """
@@ -26,9 +28,11 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -40,6 +44,10 @@ WORDS = 5
 PERCENT = 80
 #: shingles that a task holds before it hands them on
 FLUSH = 2_000_000
+#: bytes of texts unpacked at once
+UNPACKED = 8_000_000
+#: names that a task remembers, to hand on one of its own copies only
+REMEMBERED = 200_000
 #: shingles of the classes that are counted in one part
 PART_SHINGLES = 3_000_000
 BLOCK_SETS = 256
@@ -82,32 +90,77 @@ def describe(words: int):
     return run
 
 
-def names(keys: list[bytes]) -> np.ndarray:
-    """The names as two 64-bit numbers each."""
-    return np.frombuffer(b"".join(keys), "<i8").reshape(-1, 2)
-
-
 def part_of(numbers: np.ndarray, parts: int) -> np.ndarray:
     return ((numbers.view("<u8") >> np.uint64(20)) % np.uint64(parts)).astype("<i4")
 
 
-PACKED = "part int, keys binary, sizes binary, counts binary, shingles binary"
+NAMED = "key binary, bytes bigint, text binary"
 
 
-def packed(part: np.ndarray, owner: np.ndarray, values: list[np.ndarray], keys: np.ndarray, sizes: np.ndarray, parts: int):
-    """Rows of ``PACKED``: the entries of each part, those of a set together. owner: ascending."""
-    order = np.argsort(part, kind="stable")
-    bounds = np.searchsorted(part[order], np.arange(parts + 1))
-    for k in np.flatnonzero(np.diff(bounds)):
-        own = owner[order[bounds[k] : bounds[k + 1]]]
-        starts = np.flatnonzero(np.diff(own, prepend=-1))
-        yield (
-            int(k),
-            keys[own[starts]].tobytes(),
-            sizes[own[starts]].tobytes(),
-            np.diff(np.append(starts, len(own))).astype("<i4").tobytes(),
-            *(v[order[bounds[k] : bounds[k + 1]]].tobytes() for v in values),
-        )
+def name_texts(words: int):
+    """Name and compressed text of each text that has words; of the copies in a task, about one."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec, seen = pa.Codec("zstd"), set()
+        for batch in batches:
+            texts, out = batch.column(0), ([], [], [])
+            for row, shingles in sets(texts, words):
+                key = set_key(shingles)
+                if key in seen:
+                    continue
+                if len(seen) >= REMEMBERED:
+                    seen.clear()
+                seen.add(key)
+                text = texts[row].as_buffer()
+                for column, value in zip(out, (key, text.size, codec.compress(text, asbytes=True)), strict=True):
+                    column.append(value)
+            columns = [pa.array(c, k) for c, k in zip(out, (pa.binary(), pa.int64(), pa.binary()), strict=True)]
+            yield pa.RecordBatch.from_arrays(columns, names=["key", "bytes", "text"])
+        del seen
+        give_back()
+
+    return run
+
+
+def first_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows of ``NAMED`` in the order of their names: one text of each name."""
+    codec, last = pa.Codec("zstd"), None
+    for batch in batches:
+        texts, waiting = [], 0
+        for key, size, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if key == last:
+                continue
+            last = key
+            texts.append(codec.decompress(text, size, asbytes=True))
+            waiting += size
+            if waiting >= UNPACKED:
+                yield pa.RecordBatch.from_arrays([pa.array(texts, pa.binary()).view(pa.string())], names=["text"])
+                texts, waiting = [], 0
+        if texts:
+            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.binary()).view(pa.string())], names=["text"])
+
+
+#: A row has a flush's names and sizes, or some of its sets' shingles.
+PACKED = "part int, flush binary, keys binary, sizes binary, owners binary, shingles binary"
+
+
+def planes(values: np.ndarray) -> bytes:
+    """All first bytes, all second bytes and so on; of small numbers most are runs of zeros."""
+    return np.ascontiguousarray(values).view("u1").reshape(-1, values.itemsize).T.tobytes()
+
+
+def from_planes(data: bytes, kind: str) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(data, "u1").reshape(size, -1).T).view(kind).ravel()
+
+
+def steps(owner: np.ndarray) -> bytes:
+    """Ascending numbers below 2^31 as their distances."""
+    return planes(np.diff(owner, prepend=0).astype("<i4"))
+
+
+def flush_part(flush: bytes, parts: int) -> int:
+    return int(part_of(np.frombuffer(flush, "<u8"), parts)[0])
 
 
 def _rows(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
@@ -118,15 +171,24 @@ def _rows(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
 
 
 def deal_shingles(words: int, parts: int):
-    """Each task's shingles, packed for the part of the shingle."""
-    columns = ["part", "keys", "sizes", "counts", "shingles"]
+    """The shingles of texts, packed for the part of the shingle. No other task may have a text of the same set.
+
+    A flush is called by a hash of its names in order: a repeated task, given its texts in the same order, makes the same.
+    """
+    columns = ["part", "flush", "keys", "sizes", "owners", "shingles"]
 
     def flush(held: list[np.ndarray], keys: list[bytes]) -> Iterator[pa.RecordBatch]:
+        called = hashlib.blake2b(b"".join(keys), digest_size=16).digest()
         sizes = np.array([len(s) for s in held], "<i4")
+        yield _rows([(flush_part(called, parts), called, b"".join(keys), sizes.tobytes(), None, None)], columns)
         shingles = np.concatenate(held)
         owner = np.repeat(np.arange(len(held)), sizes)
-        for row in packed(part_of(shingles, parts), owner, [shingles], names(keys), sizes, parts):
-            yield _rows([row], columns)
+        part = part_of(shingles, parts)
+        order = np.argsort(part, kind="stable")
+        bounds = np.searchsorted(part[order], np.arange(parts + 1))
+        for k in np.flatnonzero(np.diff(bounds)).tolist():
+            own = order[bounds[k] : bounds[k + 1]]
+            yield _rows([(k, called, None, None, steps(owner[own]), shingles[own].tobytes())], columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, keys, seen, waiting = [], [], set(), 0
@@ -150,17 +212,29 @@ def deal_shingles(words: int, parts: int):
     return run
 
 
-def _unpacked(rows: pa.Table, values: list[tuple[str, str]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
-    """Names and sizes of the sets, in order, the number of its set for every entry, and the entries' values."""
-    joined = {c: b"".join(rows.column(c).to_pylist()) for c in rows.column_names if c != "part"}
-    name = np.frombuffer(joined["keys"], "<i8").reshape(-1, 2)
-    order = np.lexsort((name[:, 1], name[:, 0]))
-    new = np.append(np.ones(min(len(name), 1), bool), (np.diff(name[order], axis=0) != 0).any(axis=1))
-    number = np.empty(len(name), "<i4")
-    number[order] = np.cumsum(new) - 1
-    owner = np.repeat(number, np.frombuffer(joined["counts"], "<i4"))
-    size = np.frombuffer(joined["sizes"], "<i4")
-    return name[order[new]], size[order[new]], owner, [np.frombuffer(joined[n], kind) for n, kind in values]
+def deal_classes(docs: DataFrame, words: int, parts: int) -> DataFrame:
+    """The shingles of each class once, packed for the part of the shingle."""
+    deal = deal_shingles(words, parts)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return deal(first_texts(batches))
+
+    texts = docs.select("text").mapInArrow(name_texts(words), NAMED)
+    return texts.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(run, PACKED)
+
+
+def _entries(rows: pa.Table, first: dict[bytes, int] | None = None) -> tuple[list[bytes], np.ndarray, list[int], pa.Table]:
+    """Flushes, the number of its set for every entry, the first number of each flush, and the rows with entries."""
+    rows = rows.filter(pc.is_valid(rows.column("owners")))
+    called = rows.column("flush").to_pylist()
+    owners = [np.cumsum(from_planes(b, "<i4"), dtype="<i8") for b in rows.column("owners").to_pylist()]
+    if first is None:
+        most: dict[bytes, int] = {}
+        for flush, own in zip(called, owners, strict=True):
+            most[flush] = max(most.get(flush, 0), int(own[-1]) + 1)
+        first = dict(zip(most, accumulate(most.values(), initial=0), strict=False))
+    owner = np.concatenate([np.zeros(0, "<i8"), *(own + first[f] for f, own in zip(called, owners, strict=True))])
+    return list(first), owner, list(first.values()), rows
 
 
 SHARED = PACKED + ", frequency binary"
@@ -168,14 +242,18 @@ SHARED = PACKED + ", frequency binary"
 
 def count_frequencies(parts: int):
     """Of one part's shingles: the entries of those in two sets or more, with the number of sets,
-    packed for the part of the set."""
-    columns = ["part", "keys", "sizes", "counts", "shingles", "frequency"]
+    packed for the part of the flush. Names go through."""
+    columns = ["part", "flush", "keys", "sizes", "owners", "shingles", "frequency"]
 
     def run(rows: pa.Table) -> pa.Table:
-        key, size, owner, (shingles,) = _unpacked(rows, [("shingles", "<u8")])
+        told = rows.filter(pc.is_valid(rows.column("keys"))).select(columns[:-1])
+        out = [(*row.values(), None) for row in told.to_pylist()]
+        called, owner, first, rows = _entries(rows)
+        shingles = np.frombuffer(b"".join(rows.column("shingles").to_pylist()), "<u8")
+        del rows, told
         order = np.lexsort((owner, shingles))
         owner, shingles = owner[order], shingles[order]
-        fresh = np.ones(len(owner), bool)  # a set may have come from several tasks
+        fresh = np.ones(len(owner), bool)  # equal flushes may have come from several tasks
         fresh[1:] = (np.diff(owner) != 0) | (np.diff(shingles.view("<i8")) != 0)
         owner, shingles = owner[fresh], shingles[fresh]
         starts = np.flatnonzero(np.diff(shingles.view("<i8"), prepend=~shingles[:1].view("<i8")))
@@ -183,14 +261,18 @@ def count_frequencies(parts: int):
         frequency = np.repeat(times, times).astype("<i8")
         shared = frequency > 1
         owner, shingles, frequency = owner[shared], shingles[shared], frequency[shared]
-        if not len(owner):
-            return pa.table({n: pa.array([], pa.int32() if n == "part" else pa.binary()) for n in columns})
         order = np.argsort(owner, kind="stable")
         owner, shingles, frequency = owner[order], shingles[order], frequency[order]
-        part = part_of(np.ascontiguousarray(key[:, 0]), parts)[owner]
-        found = packed(part, owner, [shingles, frequency], key, size, parts)
-        made = pa.Table.from_batches([_rows(list(found), columns)])
-        del key, size, owner, shingles, frequency, order, part, found
+        bounds = np.append(np.searchsorted(owner, first), len(owner)).tolist()
+        for flush, base, a, b in zip(called, first, bounds, bounds[1:], strict=False):
+            if b > a:
+                held = steps(owner[a:b] - base), shingles[a:b].tobytes(), planes(frequency[a:b])
+                out.append((flush_part(flush, parts), flush, None, None, *held))
+        if out:
+            made = pa.Table.from_batches([_rows(out, columns)])
+        else:
+            made = pa.table({n: pa.array([], pa.int32() if n == "part" else pa.binary()) for n in columns})
+        del owner, shingles, frequency, order, out
         give_back()
         return made
 
@@ -209,11 +291,18 @@ def find_prefixes(percent: int):
     """Sets whose prefix has shared shingles: all shared shingles, the prefix, its first place, the home."""
 
     def run(rows: pa.Table) -> pa.Table:
-        key, size, owner, (shingles, frequency) = _unpacked(rows, [("shingles", "<u8"), ("frequency", "<i8")])
+        told = rows.filter(pc.is_valid(rows.column("keys")))
+        named = {row["flush"]: (row["keys"], row["sizes"]) for row in told.to_pylist()}
+        size = np.frombuffer(b"".join(sizes for _, sizes in named.values()), "<i4")
+        key = np.frombuffer(b"".join(keys for keys, _ in named.values()), "V16")
+        counts = (len(sizes) // 4 for _, sizes in named.values())
+        _, owner, _, rows = _entries(rows, dict(zip(named, accumulate(counts, initial=0), strict=False)))
+        shingles = np.frombuffer(b"".join(rows.column("shingles").to_pylist()), "<u8")
+        frequency = np.concatenate([np.zeros(0, "<i8"), *(from_planes(b, "<i8") for b in rows.column("frequency").to_pylist())])
         order = np.lexsort((shingles, frequency, owner))
         owner, shingles = owner[order], shingles[order]
         starts = np.flatnonzero(np.diff(owner, prepend=-1))
-        stops = np.append(starts[1:], len(owner))
+        stops = np.append(starts, len(owner))[1:]
         out: list[list] = [[], [], [], [], [], []]
         for first, stop in zip(starts.tolist(), stops.tolist(), strict=True):
             n = int(size[owner[first]])
@@ -371,9 +460,7 @@ def class_links(docs: DataFrame, own: DataFrame, words: int, percent: int) -> Da
     classes = stored(classes.withColumn("number", F.monotonically_increasing_id()), "set-classes")
     parts = -(-(classes.agg(F.sum("n")).first()[0] or 1) // PART_SHINGLES)
     live = (
-        docs.filter("doc_id is not null")
-        .select("text")
-        .mapInArrow(deal_shingles(words, parts), PACKED)
+        deal_classes(docs.filter("doc_id is not null"), words, parts)
         .groupBy("part")
         .applyInArrow(count_frequencies(parts), SHARED)
         .groupBy("part")

@@ -177,3 +177,45 @@ def test_long_texts_hash_as_short_ones(monkeypatch):
     whole = [(row, found.tolist()) for row, found in setjoin.sets(pa.array(texts), 5)]
     monkeypatch.setattr(wordhash, "PIECE", 64)
     assert [(row, found.tolist()) for row, found in setjoin.sets(pa.array(texts), 5)] == whole
+
+
+def test_a_shingle_costs_the_same_in_many_parts():
+    """Names must not go along to each part: near the end of growth every part has one shingle of a set."""
+    draw = random.Random(8)
+    texts = pa.array([" ".join(f"w{draw.randrange(10**6)}" for _ in range(300)) for _ in range(400)])
+    batch = pa.RecordBatch.from_arrays([texts], names=["text"])
+
+    def sent(parts):
+        rows = pa.Table.from_batches(setjoin.deal_shingles(5, parts)(iter([batch])))
+        columns = [rows.column(c).to_pylist() for c in rows.column_names if c != "part"]
+        packs = (pa.compress(b"".join(filter(None, row)), "lz4_raw", asbytes=True) for row in zip(*columns, strict=True))
+        return sum(map(len, packs)) / (400 * 296)
+
+    assert sent(1000) < 1.25 * sent(10) and sent(1000) < 11
+
+
+def test_copies_in_many_tasks_are_one_set(spark):
+    """Shingles that only copies of a set have in common are not shared."""
+    draw = random.Random(9)
+    words = [[f"w{draw.randrange(10**6)}" for _ in range(50)] for _ in range(30)]
+    texts = [" ".join(w) for w in words] + [" \t".join(w).upper() for w in words]
+    docs = spark.createDataFrame([(t,) for t in texts * 6], "text string").repartition(7)
+    dealt = setjoin.deal_classes(docs, 5, 4)
+    named = [r.keys for r in dealt.collect() if r.keys]
+    assert sum(map(len, named)) == 16 * 30
+    live = dealt.groupBy("part").applyInArrow(setjoin.count_frequencies(4), setjoin.SHARED).groupBy("part")
+    assert live.applyInArrow(setjoin.find_prefixes(80), setjoin.LIVE).count() == 0
+
+
+def test_numbers_in_planes():
+    for values in ([], [0], [3, 1, 70000, 2**31 - 1]):
+        assert setjoin.from_planes(setjoin.planes(np.array(values, "<i4")), "<i4").tolist() == values
+
+
+def test_texts_of_any_length_travel(spark, monkeypatch):
+    monkeypatch.setattr(setjoin, "UNPACKED", 10)
+    texts = ["again " * 5000, "a b c d e", "é b c d e", None, " ", "again " * 5000]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])
+    rows = pa.Table.from_batches(setjoin.name_texts(5)(iter([batch, batch]))).sort_by("key")
+    found = [b.column(0).to_pylist() for b in setjoin.first_texts(iter(rows.to_batches()))]
+    assert sorted(sum(found, [])) == sorted(texts[:3]) and all(len(b) == 1 for b in found)
