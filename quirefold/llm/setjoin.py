@@ -18,10 +18,11 @@ sequence). Two sets are linked at a Jaccard similarity of at least PERCENT / 100
    itself. Sets are taken in the order of their smallest hashes, which similar sets have in common.
 
 Shingles travel in packed arrays, a row per flush of a task and part, as rows of their own would cost
-several times the text. In a row a set is a number within its flush, written as its distance from the set before: about
-a byte a shingle, however many parts a set falls into. Names go once, beside the shingles. No step emits all pairs of a group: a block pair returns a spanning forest
-of its links and a number of links per set. A set is sent to as many pairs of blocks as its prefix's
-lists leave, not to all that they connect.
+several times the text. In a row a set is a number within its flush, written as its distance from the
+set before: about a byte a shingle, however many parts a set falls into. Names go once, beside the
+shingles. No step emits all pairs of a group: a block pair returns a spanning forest of its links and
+a number of links per set. A set is sent to as many pairs of blocks as its prefix's lists leave, not
+to all that they connect.
 """
 
 from __future__ import annotations
